@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from seqloom.functions.vectors import position_code, vector_add, zeros
 from seqloom.operators.lookup import (
     BROADCAST_BYTES,
-    dedupe_last,
+    LOOKUP_ROWS,
     fits_broadcast,
     lookup_embedding,
     vector_bytes,
@@ -45,7 +45,7 @@ def embed_windows(
     size: int,
     dim: int,
     limit: int = BROADCAST_BYTES,
-    block_rows: int = BLOCK_ROWS,
+    lookup_rows: int = LOOKUP_ROWS,
 ) -> DataFrame:
     """``(example_id, x, y)`` from stored windows.
 
@@ -60,7 +60,7 @@ def embed_windows(
         F.posexplode(F.concat("input_tokens", F.array("target_token"))).alias("_place", "_id"),
     )
     found = lookup_embedding(
-        slots, embeddings, dim, idx="example_id", token="_id", limit=limit, block_rows=block_rows
+        slots, embeddings, dim, idx="example_id", token="_id", limit=limit, block_rows=lookup_rows
     )
     whole = found.groupBy("example_id").agg(
         F.sort_array(F.collect_list(F.struct("_place", "vec"))).alias("_slots")
@@ -101,6 +101,7 @@ def training_examples(
     idx: str = "idx",
     limit: int = BROADCAST_BYTES,
     block_rows: int = BLOCK_ROWS,
+    lookup_rows: int = LOOKUP_ROWS,
 ) -> DataFrame:
     """``(example_id, x, y)`` from a numbered token stream.
 
@@ -112,7 +113,7 @@ def training_examples(
         windows = window_rows(sliding_window(rows, size, idx, block_rows=block_rows), idx)
         return _probe_windows(windows, embeddings, size, dim)
     found = lookup_embedding(
-        tokens.select(idx, "token_id"), embeddings, dim, idx, limit=limit, block_rows=block_rows
+        tokens.select(idx, "token_id"), embeddings, dim, idx, limit=limit, block_rows=lookup_rows
     )
     rows = sliding_window(
         found.select(idx, "vec"),
@@ -129,13 +130,3 @@ def training_examples(
         codes = F.array(*[position_code(p, dim) for p in range(size)])
         matrix = F.zip_with("_vectors", codes, lambda vec, code: vector_add(vec, code, dim))
     return rows.select(F.col(idx).alias("example_id"), matrix.alias("x"), "y")
-
-
-__all__ = [
-    "dedupe_last",
-    "embed_windows",
-    "input_matrix",
-    "keep_complete",
-    "target_vectors",
-    "training_examples",
-]

@@ -4,11 +4,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.functions.vectors import zeros
-from seqloom.operators.windows import BLOCK_ROWS
 
 # A table is broadcast only when its counted rows times its row size stay below this.
 BROADCAST_BYTES = 256 * 1024 * 1024
 
+# Stream rows that share one copy of a needed vector when the table is not broadcast.
+LOOKUP_ROWS = 1_000_000
+
 
 def dedupe_last(embeddings: DataFrame, order_by: list[str]) -> DataFrame:
     """One row per ``token_id``: the last one by ``order_by`` (not NULL).
@@ -38,7 +40,7 @@ def lookup_embedding(
     idx: str = "idx",
     token: str = "token_id",
     limit: int = BROADCAST_BYTES,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = LOOKUP_ROWS,
 ) -> DataFrame:
     """Adds ``vec`` (zeros for an unknown token) and ``hit`` to every stream row.
 

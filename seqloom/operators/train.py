@@ -2,6 +2,7 @@
 
 import math
 import time
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -77,11 +78,11 @@ def _local_steps(state, settings: Settings):
         params, m, v, step = state.value
         params, m, v = params.copy(), m.copy(), v.copy()
         worker, seen, rows = TaskContext.get().partitionId(), 0, []
+        scratch = lstm.Scratch()
         for x, y in _mini_batches(batches, settings.batch_size, dim):
-            before = params.copy()
-            loss, grad = lstm.loss_and_gradient(params, x, y, hidden)
+            loss, grad = lstm.loss_and_gradient(params, x, y, hidden, scratch)
             step += 1
-            lstm.adam_step(params, grad, m, v, step, rate)
+            update = lstm.adam_step(params, grad, m, v, step, rate, scratch)
             seen += len(x)
             row = {
                 "worker": worker, "iteration": step, "ts": int(time.time() * 1e6),
@@ -90,7 +91,7 @@ def _local_steps(state, settings: Settings):
             try:
                 row["gradient_norm"] = float(np.linalg.norm(grad))
                 row["parameter_norm"] = float(np.linalg.norm(params))
-                row["parameter_update"] = float(np.linalg.norm(params - before))
+                row["parameter_update"] = float(np.linalg.norm(update))
             except Exception as failure:  # a metric that fails must not fail the training
                 row["error"] = str(failure)
             rows.append(row)
@@ -138,8 +139,15 @@ def _collect_state(averaged: DataFrame, step: int) -> ModelState:
     return ModelState(*flat, step)
 
 
-def plan_rounds(examples: DataFrame, settings: Settings, workers: int) -> DataFrame | None:
-    """The training rows stored by averaging round, or None when one round is an epoch.
+class Rounds(NamedTuple):
+    """Training rows stored by averaging round, and the rounds that hold rows."""
+
+    rows: DataFrame
+    numbers: list[int]
+
+
+def plan_rounds(examples: DataFrame, settings: Settings, workers: int) -> Rounds | None:
+    """Rows cut into averaging rounds, or None when one round is an epoch.
 
     A round takes about ``workers * averaging_frequency * batch_size`` rows,
     chosen by a hash of the id; each epoch reads every round's folder once.
@@ -155,27 +163,25 @@ def plan_rounds(examples: DataFrame, settings: Settings, workers: int) -> DataFr
     rows = rows.withColumn("round", F.col("round").cast("int"))
     worker = hash_bucket(F.concat(F.lit("worker:"), key), workers)
     rows = rows.withColumn("_worker", worker).repartition("round", "_worker").drop("_worker")
-    return stage(rows, "rounds", partition_by=("round",))
+    rows = stage(rows, "rounds", partition_by=("round",))
+    return Rounds(rows, sorted(r["round"] for r in rows.select("round").distinct().collect()))
 
 
 def train_epoch(
     spark: SparkSession,
     examples: DataFrame,
-    by_round: DataFrame | None,
+    rounds: Rounds | None,
     state: ModelState,
     settings: Settings,
     workers: int,
     path: str,
 ) -> tuple[ModelState, DataFrame]:
     """One pass over the rows; worker rows go to ``path/round=r``. Returns the averaged model."""
-    rounds = [None]
-    if by_round is not None:
-        rounds = sorted(r["round"] for r in by_round.select("round").distinct().collect())
-    for r in rounds:
-        rows = examples if r is None else by_round.filter(F.col("round") == r)
+    for r in rounds.numbers if rounds else [0]:
+        rows = rounds.rows.filter(F.col("round") == r) if rounds else examples
         rows = to_workers(rows.select("example_id", "x", "y"), workers)
         shared = spark.sparkContext.broadcast((state.params, state.m, state.v, state.step))
-        target = f"{path}/round={r or 0}"
+        target = f"{path}/round={r}"
         rows.mapInArrow(_local_steps(shared, settings), WORKER_ROWS).write.mode(
             "overwrite"
         ).parquet(target)

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from seqloom.operators.index import sequence_index
 from seqloom.storage import stage
 
-# Rows per block. A block is one group of a shuffle, the halo adds window/BLOCK_ROWS extra rows.
-BLOCK_ROWS = 100_000
+# Rows per block. Blocks are the groups of the shuffle: small ones spread even a short stream over
+# all tasks, while the halo adds only window/BLOCK_ROWS extra rows.
+BLOCK_ROWS = 2048
 
 # Offset functions are cheaper than a list aggregate per frame as long as there are few of them.
 MAX_OFFSETS = 32
@@ -45,13 +46,16 @@ def sliding_window(
     """
     if size < 1:
         raise ValueError("a window holds at least one row")
-    block_rows = max(block_rows, size)
+    block_rows = max(block_rows, 16 * size)
     own = F.expr(f"{idx} div {block_rows}")
     halo = F.when(
         F.col(idx) % block_rows >= block_rows - size, F.array(own, own + 1)
     ).otherwise(F.array(own))
     spec = W.partitionBy("_block").orderBy(idx)
-    rows = tokens.withColumn("_block", F.explode(halo))
+    # A fixed number of partitions: a window row is many times the size of a stream row, so merging
+    # partitions by their shuffled bytes would leave too few tasks.
+    parts = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = tokens.withColumn("_block", F.explode(halo)).repartition(parts, "_block")
     rows = rows.withColumn("_first", F.lag(idx, size).over(spec)).withColumn(inputs, _look_back(value, size, spec))
     for n, key in enumerate(within or []):
         rows = rows.withColumn(f"_key{n}", F.lag(key, size).over(spec).eqNullSafe(F.col(key)))

@@ -26,7 +26,7 @@ SCORES = (
     "dims bigint, r2_dims bigint, mse double, rmse double, mae double, r2 double, "
     "run_id string, epoch int"
 )
-SETTINGS = "run_id string, batch_size int, hidden_size int"
+SETTINGS = "batch_size int, hidden_size int, run_id string"
 
 
 @dataclass(frozen=True)
@@ -140,15 +140,15 @@ def train(
     )
     training = parts.filter("split = 'train'").drop("split")
     validation = parts.filter("split = 'valid'").drop("split")
-    by_round = plan_rounds(training, settings, workers)
+    rounds = plan_rounds(training, settings, workers)
     spark.createDataFrame(
-        [(run_id, settings.batch_size, settings.hidden_size)], SETTINGS
-    ).coalesce(1).write.mode("append").parquet(f"{root}/settings")
+        [(settings.batch_size, settings.hidden_size)], "batch_size int, hidden_size int"
+    ).coalesce(1).write.mode("overwrite").parquet(f"{root}/settings/run_id={run_id}")
     state = ModelState.initial(settings)
     for epoch in range(1, settings.epochs + 1):
         here = f"run_id={run_id}/epoch={epoch}"
         state, averaged = train_epoch(
-            spark, training, by_round, state, settings, workers, f"{root}/workers/{here}"
+            spark, training, rounds, state, settings, workers, f"{root}/workers/{here}"
         )
         parameter_table(averaged, settings, state.step).write.mode("overwrite").parquet(
             f"{root}/params/{here}"

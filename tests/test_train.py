@@ -1,0 +1,202 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from seqloom.config import Settings
+from seqloom.functions import lstm
+from seqloom.operators import metrics
+from seqloom.operators import train as op
+from seqloom.operators.predict import predict
+from seqloom.plans import train as plan
+from seqloom.plans.run import prepare_and_train
+from seqloom.sources.examples import scan_examples
+
+DIM, HIDDEN, STEPS = 3, 4, 4
+
+
+def small(**knobs):
+    base = dict(
+        embedding_dim=DIM, window_size=STEPS, hidden_size=HIDDEN, batch_size=8, epochs=2,
+        workers=3, averaging_frequency=None, learning_rate=0.02,
+    )
+    return Settings(**{**base, **knobs})
+
+
+@pytest.fixture(scope="module")
+def examples(spark, tmp_path_factory):
+    rng = np.random.default_rng(2)
+    rows = []
+    for n in range(400):
+        x = rng.normal(size=(STEPS, DIM)).astype(np.float32)
+        rows.append((n, x.tolist(), np.tanh(x.sum(axis=0)).tolist()))
+    path = str(tmp_path_factory.mktemp("examples"))
+    schema = "example_id bigint, x array<array<float>>, y array<float>"
+    spark.createDataFrame(rows, schema).repartition(4).write.mode("overwrite").parquet(path)
+    return scan_examples(spark, path)
+
+
+def test_gradient_against_finite_differences():
+    rng = np.random.default_rng(0)
+    flat = lstm.initial(DIM, HIDDEN, 1).astype(float)
+    x, y = rng.normal(size=(6, STEPS, DIM)), rng.normal(size=(6, DIM))
+    _, grad = lstm.loss_and_gradient(flat, x, y, HIDDEN)
+    for i in range(len(flat)):
+        up, down = flat.copy(), flat.copy()
+        up[i] += 1e-5
+        down[i] -= 1e-5
+        slope = lstm.loss_and_gradient(up, x, y, HIDDEN)[0]
+        slope -= lstm.loss_and_gradient(down, x, y, HIDDEN)[0]
+        assert grad[i] == pytest.approx(slope / 2e-5, abs=1e-7)
+
+
+def test_forward_pass_against_a_plain_loop():
+    rng = np.random.default_rng(3)
+    flat = lstm.initial(DIM, HIDDEN, 5)
+    x = rng.normal(size=(130, STEPS, DIM)).astype(np.float32)
+    w, u, b, v, d = (a.astype(float) for a in lstm.split(flat, DIM, HIDDEN))
+    out = lstm.predict(flat, x, HIDDEN)
+
+    def logistic(z):
+        return 1 / (1 + math.exp(-z))
+
+    for n in (0, 64, 129):
+        h, c = [0.0] * HIDDEN, [0.0] * HIDDEN
+        for t in range(STEPS):
+            z = x[n, t] @ w + np.array(h) @ u + b
+            for k in range(HIDDEN):
+                i, f, o = (logistic(z[g * HIDDEN + k]) for g in range(3))
+                c[k] = f * c[k] + i * math.tanh(z[3 * HIDDEN + k])
+                h[k] = o * math.tanh(c[k])
+            assert out[n, t] == pytest.approx(np.array(h) @ v + d, abs=1e-5)
+
+
+def test_adam_first_step_has_the_size_of_the_rate():
+    flat, grad = np.zeros(3, np.float32), np.array([2.0, -3.0, 0.5], np.float32)
+    m, v = np.zeros_like(flat), np.zeros_like(flat)
+    lstm.adam_step(flat, grad, m, v, 1, 0.01)
+    assert flat == pytest.approx([-0.01, 0.01, -0.01], rel=1e-4)
+
+
+def test_predict_equals_the_local_forward_pass(spark, examples):
+    flat = lstm.initial(DIM, HIDDEN, 9)
+    rows = predict(examples, flat, DIM, HIDDEN).join(examples.drop("y"), "example_id").collect()
+    assert len(rows) == 400
+    for row in rows[:20]:
+        wanted = lstm.predict(flat, np.array([row.x], dtype=np.float32), HIDDEN)[0]
+        assert np.array(row.p) == pytest.approx(wanted, abs=1e-6)
+
+
+def workers_table(spark, states):
+    rows = [
+        (n, weight, [float(x) for x in p], [0.0] * len(p), [1.0] * len(p))
+        for n, (weight, p) in enumerate(states)
+    ]
+    rows.append((0, 8, None, None, None))
+    schema = "worker int, n bigint, params array<float>, m array<float>, v array<float>"
+    return spark.createDataFrame(rows, schema)
+
+
+def test_average(spark):
+    same = workers_table(spark, [(5, [0.1, 0.2]), (7, [0.1, 0.2]), (1, [0.1, 0.2])])
+    found = op.average(same).orderBy("pos").collect()
+    assert [r.params for r in found] == [float(np.float32(0.1)), float(np.float32(0.2))]
+    two = workers_table(spark, [(1, [0.0, 4.0]), (3, [1.0, 0.0])])
+    assert [r.params for r in op.average(two).orderBy("pos").collect()] == [0.5, 2.0]
+    weighted = op.average(two, weighted=True).orderBy("pos").collect()
+    assert [r.params for r in weighted] == [0.75, 1.0]
+
+
+def test_one_worker_equals_local_training(spark, examples, tmp_path):
+    settings = small(workers=1)
+    state = op.ModelState.initial(settings)
+    flat, m, v = state.params.copy(), state.m.copy(), state.v.copy()
+    one = examples.coalesce(1)
+    table = one.toArrow()
+    x = np.array(table.column("x").to_pylist(), dtype=np.float32)
+    y = np.array(table.column("y").to_pylist(), dtype=np.float32)
+    for step, at in enumerate(range(0, len(x), 8), start=1):
+        _, grad = lstm.loss_and_gradient(flat, x[at : at + 8], y[at : at + 8], HIDDEN)
+        lstm.adam_step(flat, grad, m, v, step, settings.learning_rate)
+    found, _ = op.train_epoch(spark, one, None, state, settings, 1, str(tmp_path / "w"))
+    assert found.step == 50
+    assert found.params == pytest.approx(flat, abs=1e-5)
+
+
+def test_rounds_cover_every_row_once(spark, examples):
+    settings = small(averaging_frequency=2)
+    rounds = op.plan_rounds(examples, settings, workers=3)
+    assert rounds.numbers == list(range(math.ceil(400 / (3 * 2 * 8))))
+    assert sorted(r.example_id for r in rounds.rows.collect()) == list(range(400))
+    assert op.plan_rounds(examples, small(), workers=3) is None
+    assert op.plan_rounds(examples, small(averaging_frequency=100), workers=3) is None
+
+
+@pytest.mark.parametrize("frequency", [None, 3])
+def test_training_learns_and_stores_its_run(spark, examples, tmp_path, frequency):
+    settings = small(epochs=3, averaging_frequency=frequency)
+    root = str(tmp_path / "run")
+    tables, state = plan.train(examples, settings, root, "r1")
+    epochs = tables.epochs(spark).orderBy("epoch").collect()
+    assert [e.epoch for e in epochs] == [1, 2, 3]
+    assert epochs[2].mse < epochs[0].mse
+    assert epochs[2].dims == DIM
+
+    log = tables.iterations(spark)
+    training = plan.train_valid_split(examples).filter("split = 'train'").count()
+    per_epoch = log.groupBy("epoch").agg(F.sum("n").alias("n")).collect()
+    assert {r.n for r in per_epoch} == {training}
+    assert log.filter("error is not null").isEmpty()
+    assert log.filter("gradient_norm > 0 and parameter_update > 0").count() == log.count()
+    rounds = log.select("round").distinct().count()
+    assert rounds == (1 if frequency is None else math.ceil(training / (3 * 3 * 8)))
+    if frequency is None:
+        assert log.select("worker").distinct().count() == 3
+
+    again = plan.load_model(spark, tables, "r1", 3, settings)
+    assert again.step == state.step
+    for name in ("params", "m", "v"):
+        assert np.array_equal(getattr(again, name), getattr(state, name))
+
+    layers = metrics.layer_info(
+        tables.params(spark).filter("epoch = 3"), plan.layer_table(spark, settings)
+    )
+    sizes = {r.layer: r.parameters for r in layers.collect()}
+    assert sizes == {0: 4 * HIDDEN * (DIM + HIDDEN + 1), 1: HIDDEN * DIM + DIM}
+    summary = tables.summary(spark).first()
+    assert (summary.run_id, summary.epochs, summary.batch_size) == ("r1", 3, 8)
+    norms = metrics.parameter_norms(tables.params(spark)).orderBy("epoch").collect()
+    assert norms[2].parameter_norm == pytest.approx(np.linalg.norm(state.params), rel=1e-5)
+    final = metrics.epoch_final_metrics(log).count()
+    assert final == 3
+
+
+def test_no_examples_is_an_error(spark, examples, tmp_path):
+    with pytest.raises(ValueError, match="no examples"):
+        plan.train(examples.filter("example_id < 0"), small(), str(tmp_path / "run"), "r")
+
+
+def test_both_stages(spark, stream, vectors, tmp_path):
+    rng = np.random.default_rng(4)
+    emb = vectors({t: rng.normal(size=DIM).tolist() for t in range(12)})
+    tokens = stream([int(t) for t in rng.integers(0, 12, 300)])
+    tables = prepare_and_train(tokens, emb, small(epochs=1), str(tmp_path / "out"), "r")
+    assert tables.epochs(spark).count() == 1
+    assert scan_examples(spark, str(tmp_path / "out/examples")).count() == 296
+
+
+@pytest.mark.parametrize(
+    "knobs",
+    [dict(epochs=0), dict(window_size=0), dict(train_percent=100), dict(averaging_frequency=0),
+     dict(workers=0)],
+)
+def test_settings_are_checked(knobs):
+    with pytest.raises(ValueError):
+        Settings(**knobs)
+
+
+def test_default_settings():
+    s = Settings()
+    assert (s.embedding_dim, s.window_size, s.hidden_size) == (50, 4, 128)
+    assert (s.batch_size, s.epochs, s.averaging_frequency) == (32, 5, 5)
