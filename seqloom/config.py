@@ -12,6 +12,7 @@ class Settings:
     the setting for large data: a round is one Spark job.
     """
 
+    # Default sizes and seed of a run.
     embedding_dim: int = 50
     window_size: int = 4
     hidden_size: int = 128

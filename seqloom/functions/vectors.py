@@ -3,6 +3,9 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: base of the positional angles.
+ANGLE_BASE = 10000.0
+
 
 def vector_columns(df: DataFrame, prefix: str = "embedding") -> list[str]:
     """Names of the wide vector columns, in schema order."""
@@ -24,7 +27,7 @@ def positional_encoding(position: Column, dim: int) -> Column:
 
     def cell(i):
         even = i - i % 2
-        angle = position.cast("double") / F.pow(F.lit(10000.0), even / F.lit(float(dim)))
+        angle = position.cast("double") / F.pow(F.lit(ANGLE_BASE), even / F.lit(float(dim)))
         return F.when(i % 2 == 0, F.sin(angle)).otherwise(F.cos(angle)).cast("float")
 
     return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), cell)
@@ -34,7 +37,7 @@ def position_code(position: int, dim: int) -> Column:
     """The encoding of a known position; Catalyst folds it to one constant array."""
     cells = []
     for i in range(dim):
-        angle = f"{float(position)}D / pow(10000D, {2 * (i // 2) / dim}D)"
+        angle = f"{float(position)}D / pow({ANGLE_BASE}D, {2 * (i // 2) / dim}D)"
         cells.append(f"cast({'cos' if i % 2 else 'sin'}({angle}) as float)")
     return F.expr(f"array({', '.join(cells)})")
 

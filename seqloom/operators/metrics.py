@@ -13,6 +13,9 @@ from seqloom.functions.vectors import l2_norm
 LAST_SEEN = ("loss", "learning_rate", "gradient_norm", "parameter_norm")
 RUN = ("run_id",)
 
+# Workers are numbered below 2^20.
+WORKER_BITS = 20
+
 
 def vector_norms(table: DataFrame, vec: str, norm: str = "norm") -> DataFrame:
     return table.withColumn(norm, l2_norm(F.col(vec)))
@@ -85,15 +88,14 @@ def layer_info(params: DataFrame, layers: DataFrame) -> DataFrame:
     )
 
 
-def epoch_final_metrics(
-    iterations: DataFrame, order_by: tuple[str, ...] = ("iteration", "worker")
-) -> DataFrame:
-    """Loss, rate and norms last seen in each epoch."""
-    order = F.struct(*order_by)
+def epoch_final_metrics(iterations: DataFrame) -> DataFrame:
+    """Loss, rate and norms last seen in each epoch: the highest worker of the last iteration."""
+    # One number as order, so that the aggregate hashes instead of sorting its input.
+    order = F.shiftleft(F.col("iteration").cast("bigint"), WORKER_BITS) + F.col("worker")
     columns = [c for c in LAST_SEEN if c in iterations.columns]
-    last = F.max_by(F.struct(*columns), order)
-    rows = iterations.groupBy("run_id", "epoch").agg(last.alias("_last"))
-    return rows.select("run_id", "epoch", "_last.*")
+    return iterations.groupBy("run_id", "epoch").agg(
+        *[F.max_by(c, order).alias(c) for c in columns]
+    )
 
 
 def epoch_validation(scores: DataFrame, durations: DataFrame) -> DataFrame:

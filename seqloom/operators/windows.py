@@ -9,7 +9,7 @@ from seqloom.storage import stage
 
 # Rows per block. Blocks are the groups of the shuffle: small ones spread even a short stream over
 # all tasks, while the halo adds only window/BLOCK_ROWS extra rows.
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 1024
 
 # Offset functions are cheaper than a list aggregate per frame as long as there are few of them.
 MAX_OFFSETS = 32
