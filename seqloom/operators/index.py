@@ -57,11 +57,11 @@ def sequence_index(
 
     Rows are range-partitioned, so a hot leading key is split like any other
     range; row numbers inside a partition come for free while the partition is
-    written, and one count per partition (a number of rows set by
-    ``partitions``) is summed and broadcast.
+    written, and one count per partition is summed and broadcast: at most
+    ``partitions`` rows, by default the session's shuffle partitions.
     """
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by)
+    count = [partitions] if partitions else []
+    rows = df.repartitionByRange(*count, *order_by).sortWithinPartitions(*order_by)
     if explode is not None:
         keep = [c for c in df.columns if c in order_by]
         rows = rows.select(*keep, F.posexplode(explode).alias("pos", value))
@@ -85,18 +85,28 @@ def index_scanned(df: DataFrame, split_by: list[str], idx: str = "idx") -> DataF
 
     Rows of one input split are scanned by one task in file order, so a row's
     place in its split is known while the scan is written. Splits are ordered
-    by ``split_by`` (path, offset) and only their summary is summed.
+    by ``split_by`` (path, offset), which is dropped, and only their summary is
+    summed. Rows find their split by scan task and row number; beyond
+    ``SMALL_BLOCKS`` splits that join shuffles, in groups of one task's rows.
     """
     rows = stage(df.withColumn("_mid", F.monotonically_increasing_id()), "scanned")
     splits = stage(
         rows.groupBy(*split_by).agg(F.count("*").alias("_size"), F.min("_mid").alias("_first")),
         "splits",
     )
-    starts = running_start(splits, split_by, "_size", "_start").drop("_size")
+    starts = running_start(splits, split_by, "_size", "_start").select(
+        F.shiftright("_first", PARTITION_BIT).alias("_task"), "_first", "_size", "_start"
+    )
     if splits.count() <= SMALL_BLOCKS:
         starts = F.broadcast(starts)
+    here = (
+        (F.shiftright("_mid", PARTITION_BIT) == F.col("_task"))
+        & (F.col("_mid") >= F.col("_first"))
+        & (F.col("_mid") < F.col("_first") + F.col("_size"))
+    )
     return (
-        rows.join(starts, split_by)
+        rows.drop(*split_by)
+        .join(starts, here)
         .withColumn(idx, F.col("_start") + F.col("_mid") - F.col("_first"))
-        .drop("_mid", "_first", "_start")
+        .drop("_mid", "_task", "_first", "_size", "_start")
     )

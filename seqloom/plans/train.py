@@ -57,6 +57,21 @@ class RunTables:
         durations = metrics.epoch_durations(self.iterations(spark))
         return metrics.run_summary(durations, self.settings(spark))
 
+    def write_stats(self, spark: SparkSession, run_id: str) -> None:
+        """Store a run's report: epochs, last-seen metrics, throughput and summary."""
+        durations = metrics.epoch_durations(self.iterations(spark))
+        reports = {
+            "epochs": self.epochs(spark),
+            "final_metrics": metrics.epoch_final_metrics(self.iterations(spark)),
+            "throughput": metrics.throughput(self.iterations(spark)),
+            "summary": metrics.run_summary(durations, self.settings(spark)),
+        }
+        for name, report in reports.items():
+            rows = report.filter(F.col("run_id") == run_id).drop("run_id")
+            rows.coalesce(1).write.mode("overwrite").parquet(
+                f"{self.root}/stats/{name}/run_id={run_id}"
+            )
+
 
 def layer_table(spark: SparkSession, settings: Settings) -> DataFrame:
     dim, hidden = settings.embedding_dim, settings.hidden_size
@@ -130,7 +145,8 @@ def train(
     """``epochs`` passes of parameter averaging over a *stored* example table.
 
     After each epoch the averaged parameters and the validation scores are
-    written below ``root``; worker metrics are written by the workers.
+    written below ``root``; worker metrics are written by the workers, the
+    run's report at the end.
     """
     spark = examples.sparkSession
     tables = RunTables(root)
@@ -159,4 +175,5 @@ def train(
         macro_average(regression_eval(predicted)).coalesce(1).write.mode("overwrite").parquet(
             f"{root}/scores/{here}"
         )
+    tables.write_stats(spark, run_id)
     return tables, state

@@ -13,20 +13,26 @@ from pyspark.sql import DataFrame, SparkSession
 SCRATCH_KEY = "spark.checkpoint.dir"
 
 
+# Temporary folders of local applications that named none.
+_local_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by the session.
 
-    Only a local session without the setting gets a temporary folder; a cluster
+    Only a local session that names none gets a temporary folder; a cluster
     session must name one that every executor can reach.
     """
-    root = spark.conf.get(SCRATCH_KEY, None)
+    context = spark.sparkContext
+    root = spark.conf.get(SCRATCH_KEY, None) or context.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {SCRATCH_KEY} to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="seqloom-")
-    spark.conf.set(SCRATCH_KEY, root)
-    return root
+    app = context.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="seqloom-")
+    return _local_roots[app]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

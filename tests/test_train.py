@@ -168,8 +168,14 @@ def test_training_learns_and_stores_its_run(spark, examples, tmp_path, frequency
     assert (summary.run_id, summary.epochs, summary.batch_size) == ("r1", 3, 8)
     norms = metrics.parameter_norms(tables.params(spark)).orderBy("epoch").collect()
     assert norms[2].parameter_norm == pytest.approx(np.linalg.norm(state.params), rel=1e-5)
-    final = metrics.epoch_final_metrics(log).count()
-    assert final == 3
+    stats = {
+        name: spark.read.parquet(f"{root}/stats/{name}").collect()
+        for name in ("epochs", "final_metrics", "throughput", "summary")
+    }
+    assert {name: len(rows) for name, rows in stats.items()} == {
+        "epochs": 3, "final_metrics": 3, "throughput": 1, "summary": 1
+    }
+    assert stats["throughput"][0].iterations == log.count()
 
 
 def test_no_examples_is_an_error(spark, examples, tmp_path):
