@@ -52,14 +52,18 @@ def embedding(spark, sf_dir) -> DataFrame:
     return emb_source.embedding_table(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
 
-def word_token() -> Column:
-    return txt.hash_bucket(F.col("word"), VOCABULARY).cast("int")
+def word_tokens(text: str = "text") -> Column:
+    """The words of a text as token ids."""
+    return F.transform(
+        txt.words(F.col(text)), lambda word: txt.hash_bucket(word, VOCABULARY).cast("int")
+    )
 
 
 def document_words(spark, sf_dir) -> DataFrame:
+    """All words of all documents as one numbered stream of token ids."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = sequence_index(docs, ["doc_id"], explode=txt.words(F.col("text")), value="word")
-    return rows.select("idx", "doc_id", "pos", word_token().alias("token_id"))
+    rows = sequence_index(docs, ["doc_id"], explode=word_tokens())
+    return rows.select("idx", "doc_id", "pos", "token_id")
 
 
 def spread(prefix: str, column: str, dim: int = DIM) -> list:
@@ -127,10 +131,9 @@ def sliding_window_per_user_hot(spark, sf_dir):
 
 def sliding_window_conversation(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
-    words = turns.select(
-        "conv_id", "turn", F.posexplode(txt.words(F.col("text"))).alias("pos", "word")
+    tokens = turns.select(
+        "conv_id", "turn", F.posexplode(word_tokens()).alias("pos", "token_id")
     )
-    tokens = words.select("conv_id", "turn", "pos", word_token().alias("token_id"))
     windows = sliding_window_by_key(tokens, WINDOW, "conv_id", ["turn", "pos"])
     return windows.select(*window_columns([F.col("conv_id"), F.col("turn"), F.col("pos")]))
 
@@ -171,10 +174,8 @@ def scan_token_lists_text(spark, sf_dir):
 
 
 def _token_lists(spark, rows, order_by, form):
-    ids = F.transform(
-        txt.words(F.col("text")), lambda word: txt.hash_bucket(word, VOCABULARY).cast("string")
-    )
-    lists = F.concat(F.lit("["), F.array_join(ids, ", "), F.lit("]"))
+    ids = F.array_join(word_tokens().cast("array<string>"), ", ")
+    lists = F.concat(F.lit("["), ids, F.lit("]"))
     rows = rows.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     path = new_folder(spark, "token_lists")
     options = {"quoteAll": True} if form == "csv" else {"quote": "", "sep": "\t"}

@@ -11,7 +11,7 @@ from seqloom.operators.lookup import (
     lookup_embedding,
     vector_bytes,
 )
-from seqloom.operators.windows import BLOCK_ROWS, MAX_OFFSETS, sliding_window, window_rows
+from seqloom.operators.windows import BLOCK_ROWS, sliding_window, window_rows
 
 # One broadcast join per window position up to this width; beyond it vectors travel with the rows.
 MAX_JOINS = 16
@@ -25,10 +25,8 @@ def target_vectors(tokens: DataFrame, embeddings: DataFrame, dim: int, **options
 
 def input_matrix(vectors: Column, size: int, dim: int) -> Column:
     """``[size, dim]`` matrix: each window vector plus the encoding of its place."""
-    rows = []
-    for p in range(size):
-        rows.append(vector_add(vectors[p], position_code(p, dim), dim))
-    return F.array(*rows)
+    codes = F.array(*[position_code(p, dim) for p in range(size)])
+    return F.zip_with(vectors, codes, lambda vec, code: vector_add(vec, code, dim))
 
 
 def keep_complete(examples: DataFrame, size: int, dim: int | None = None) -> DataFrame:
@@ -68,7 +66,7 @@ def embed_windows(
     vectors = F.col("_slots.vec")
     return whole.select(
         "example_id",
-        input_matrix(vectors, size, dim).alias("x"),
+        input_matrix(F.slice(vectors, 1, size), size, dim).alias("x"),
         vectors[size].alias("y"),
     )
 
@@ -124,9 +122,5 @@ def training_examples(
         target="y",
         block_rows=block_rows,
     )
-    if size <= MAX_OFFSETS:
-        matrix = input_matrix(F.col("_vectors"), size, dim)
-    else:
-        codes = F.array(*[position_code(p, dim) for p in range(size)])
-        matrix = F.zip_with("_vectors", codes, lambda vec, code: vector_add(vec, code, dim))
+    matrix = input_matrix(F.col("_vectors"), size, dim)
     return rows.select(F.col(idx).alias("example_id"), matrix.alias("x"), "y")

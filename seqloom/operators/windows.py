@@ -7,23 +7,17 @@ from pyspark.sql import functions as F
 from seqloom.operators.index import sequence_index
 from seqloom.storage import stage
 
-# Rows per block. Blocks are the groups of the shuffle: small ones spread even a short stream over
-# all tasks, while the halo adds only window/BLOCK_ROWS extra rows.
+# Rows per block. Small blocks spread even a short stream over all tasks and fit in one array, while
+# the halo adds only window/BLOCK_ROWS extra rows.
 BLOCK_ROWS = 1024
 
-# Offset functions are cheaper than a list aggregate per frame as long as there are few of them.
-MAX_OFFSETS = 32
+# Offset functions cost one pass each: beyond this width a window is cut from its block's array.
+MAX_OFFSETS = 16
 
 # Most hot keys that are broadcast as a list.
 HOT_KEYS = 100_000
 
 
-def _look_back(value: str, size: int, spec) -> Column:
-    if size <= MAX_OFFSETS:
-        return F.array(*[F.lag(value, k).over(spec) for k in range(size, 0, -1)])
-    return F.collect_list(value).over(spec.rowsBetween(-size, -1))
-
-
 def sliding_window(
     tokens: DataFrame,
     size: int,
@@ -42,31 +36,66 @@ def sliding_window(
     shuffled apart, so no task sees the whole stream.
 
     ``within`` names columns the stream is sorted by; windows that cross a
-    change of them are dropped.
+    change of them are dropped. All other columns are kept.
     """
     if size < 1:
         raise ValueError("a window holds at least one row")
-    block_rows = max(block_rows, 16 * size)
+    block_rows = max(block_rows, 4 * size)
     own = F.expr(f"{idx} div {block_rows}")
     halo = F.when(
         F.col(idx) % block_rows >= block_rows - size, F.array(own, own + 1)
     ).otherwise(F.array(own))
-    spec = W.partitionBy("_block").orderBy(idx)
     # A fixed number of partitions: a window row is many times the size of a stream row, so merging
     # partitions by their shuffled bytes would leave too few tasks.
     parts = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = tokens.withColumn("_block", F.explode(halo)).repartition(parts, "_block")
-    rows = rows.withColumn("_first", F.lag(idx, size).over(spec)).withColumn(inputs, _look_back(value, size, spec))
-    for n, key in enumerate(within or []):
-        rows = rows.withColumn(f"_key{n}", F.lag(key, size).over(spec).eqNullSafe(F.col(key)))
-    full = (own == F.col("_block")) & (F.col(idx) >= size)
-    checked = F.when(
-        F.coalesce(F.col("_first") == F.col(idx) - size, F.lit(False)), F.lit(True)
-    ).otherwise(F.raise_error(F.lit(f"{idx} does not number the stream without gaps")))
-    rows = rows.filter(F.when(full, checked).otherwise(F.lit(False)))
-    for n, _ in enumerate(within or []):
-        rows = rows.filter(f"_key{n}").drop(f"_key{n}")
-    return rows.withColumn(target, F.col(value)).drop("_block", "_first")
+    windows = _by_offsets if size <= MAX_OFFSETS else _by_slices
+    keep = [c for c in tokens.columns if c not in (idx, value)]
+    return windows(rows, size, idx, value, inputs, within or [], block_rows).select(
+        idx, *keep, inputs, F.col(value).alias(target)
+    )
+
+
+def _gap(idx: str) -> Column:
+    message = f"{idx} does not number the stream without gaps"
+    return F.raise_error(F.lit(message)).cast("boolean")
+
+
+def _by_offsets(rows, size, idx, value, inputs, within, block_rows):
+    spec = W.partitionBy("_block").orderBy(idx)
+    first = F.lag(idx, size).over(spec)
+    rows = rows.withColumn("_first", first).withColumn(
+        inputs, F.array(*[F.lag(value, k).over(spec) for k in range(size, 0, -1)])
+    )
+    same = [F.lag(key, size).over(spec).eqNullSafe(F.col(key)) for key in within]
+    rows = rows.withColumns({f"_same{n}": check for n, check in enumerate(same)})
+    full = (F.expr(f"{idx} div {block_rows}") == F.col("_block")) & (F.col(idx) >= size)
+    whole = F.coalesce(F.col("_first") == F.col(idx) - size, F.lit(False))
+    rows = rows.filter(F.when(full, F.when(whole, F.lit(True)).otherwise(_gap(idx))))
+    for n, _ in enumerate(same):
+        rows = rows.filter(f"_same{n}")
+    return rows
+
+
+def _by_slices(rows, size, idx, value, inputs, within, block_rows):
+    columns = [c for c in rows.columns if c not in ("_block", idx)]
+    blocks = rows.groupBy("_block").agg(
+        F.sort_array(F.collect_list(F.struct(idx, *columns))).alias("_rows")
+    )
+    # One array per column: taken from the block once, not once per window.
+    blocks = blocks.select("_block", *[F.col(f"_rows.{c}").alias(c) for c in (idx, *columns)])
+    first = F.greatest(F.lit(0), F.col("_block") * block_rows - size)
+    whole = F.col(idx) == F.sequence(first, first + F.size(idx) - 1)
+    blocks = blocks.filter(F.when(whole, F.size(idx) > size).otherwise(_gap(idx)))
+    places = F.sequence(F.lit(size), F.size(idx) - 1)
+    windows = blocks.select(idx, *columns, F.explode(places).alias("_at"))
+    at = F.col("_at")
+    for key in within:
+        windows = windows.filter(F.col(key)[at].eqNullSafe(F.col(key)[at - size]))
+    return windows.select(
+        F.slice(value, at - size + 1, size).alias(inputs),
+        *[F.col(c)[at].alias(c) for c in (idx, *columns)],
+    )
 
 
 def sliding_window_by_key(
@@ -84,17 +113,16 @@ def sliding_window_by_key(
 
     Sequences are windowed where their key lands after one shuffle. A sequence
     of more than ``hot_rows`` rows would be one oversized group there, so such
-    sequences are numbered as a stream of their own and cut into blocks.
+    sequences are numbered as a stream of their own and cut into blocks; so are
+    all sequences when windows are wide.
     """
     keep = [key, *order_by]
     tokens = tokens.select(*keep, value)
-    sizes = tokens.groupBy(key).agg(F.count("*").alias("_size"))
-    hot = stage(sizes.filter(F.col("_size") > hot_rows).select(F.col(key).alias("_hot")), "hot")
-    n_hot = hot.count()
 
     def plain(df):
         spec = W.partitionBy(key).orderBy(*order_by)
-        rows = df.withColumn(inputs, _look_back(value, size, spec))
+        before = [F.lag(value, k).over(spec) for k in range(size, 0, -1)]
+        rows = df.withColumn(inputs, F.array(*before))
         rows = rows.withColumn("_full", F.lag(F.lit(True), size).over(spec))
         return rows.filter("_full").select(*keep, inputs, F.col(value).alias(target))
 
@@ -105,6 +133,11 @@ def sliding_window_by_key(
         )
         return rows.select(*keep, inputs, target)
 
+    if size > MAX_OFFSETS:
+        return blocked(tokens)
+    sizes = tokens.groupBy(key).agg(F.count("*").alias("_size"))
+    hot = stage(sizes.filter(F.col("_size") > hot_rows).select(F.col(key).alias("_hot")), "hot")
+    n_hot = hot.count()
     if n_hot == 0:
         return plain(tokens)
     if n_hot > HOT_KEYS:

@@ -32,3 +32,11 @@ def test_stage_reads_back_what_it_wrote(spark):
         df.collect()
     )
     assert storage.stage(df.filter("id < 0"), "empty").isEmpty()
+
+
+def test_clear_scratch_removes_what_was_staged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "scratch_root", lambda _: str(tmp_path))
+    storage.stage(spark.range(3), "t")
+    assert list(tmp_path.rglob("*.parquet"))
+    storage.clear_scratch(spark)
+    assert not list(tmp_path.rglob("*.parquet"))
