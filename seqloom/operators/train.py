@@ -120,9 +120,9 @@ def to_workers(examples: DataFrame, workers: int) -> DataFrame:
 
 
 def average(outputs: DataFrame, weighted: bool = False) -> DataFrame:
-    """``(pos, params, m, v)``: the mean over workers of each parameter and moment."""
+    """``(pos, params, m, v, step)``: the mean over workers of each parameter and moment."""
     trained = outputs.filter(F.col("params").isNotNull()).select(
-        "n", F.posexplode(F.arrays_zip("params", "m", "v")).alias("pos", "cell")
+        "n", "iteration", F.posexplode(F.arrays_zip("params", "m", "v")).alias("pos", "cell")
     )
 
     def mean(name):
@@ -130,13 +130,17 @@ def average(outputs: DataFrame, weighted: bool = False) -> DataFrame:
         total = F.sum(value * F.col("n")) / F.sum("n") if weighted else F.avg(value)
         return total.cast("float").alias(name)
 
-    return trained.groupBy("pos").agg(mean("params"), mean("m"), mean("v"))
+    return trained.groupBy("pos").agg(
+        mean("params"), mean("m"), mean("v"), F.max("iteration").alias("step")
+    )
 
 
-def _collect_state(averaged: DataFrame, step: int) -> ModelState:
+def _collect_state(averaged: DataFrame) -> ModelState:
     table = averaged.toArrow().sort_by("pos")
+    if table.num_rows == 0:
+        raise ValueError("no examples to train on")
     flat = [table.column(c).to_numpy().astype(np.float32) for c in ("params", "m", "v")]
-    return ModelState(*flat, step)
+    return ModelState(*flat, table.column("step")[0].as_py())
 
 
 class Rounds(NamedTuple):
@@ -186,10 +190,7 @@ def train_epoch(
             "overwrite"
         ).parquet(target)
         outputs = spark.read.schema(WORKER_ROWS).parquet(target)
-        step = outputs.agg(F.max("iteration")).first()[0]
-        if step is None:
-            raise ValueError("no examples to train on")
         averaged = average(outputs, settings.weighted_average)
-        state = _collect_state(averaged, step)
+        state = _collect_state(averaged)
         shared.unpersist()
     return state, averaged

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from seqloom.config import Settings
 from seqloom.operators.checks import check_embeddings, check_tokens, require_rows, require_vectors
 from seqloom.operators.examples import keep_complete, training_examples
+from seqloom.operators.split import train_valid_split
 from seqloom.operators.windows import sliding_window, window_rows
 from seqloom.sources.embeddings import scan_embeddings_csv
 from seqloom.sources.examples import write_examples, write_windows
@@ -30,7 +31,7 @@ def prepare_windows(tokens: DataFrame, settings: Settings, path: str) -> None:
 def prepare_examples(
     tokens: DataFrame, embeddings: DataFrame, settings: Settings, path: str, strict: bool = False
 ) -> dict:
-    """Write ``(example_id, x, y)`` and return the input counts.
+    """Write ``(example_id, x, y)`` in one folder per split and return the input counts.
 
     ``strict`` rejects vectors of another length instead of using zero rows.
     """
@@ -41,5 +42,10 @@ def prepare_examples(
         "tokens": require_rows(check_tokens(tokens), "tokens"),
     }
     examples = training_examples(tokens, embeddings, settings.window_size, dim)
-    write_examples(keep_complete(examples, settings.window_size), path)
+    examples = train_valid_split(
+        keep_complete(examples, settings.window_size),
+        train_percent=settings.train_percent,
+        salt=settings.split_salt,
+    )
+    write_examples(examples, path)
     return counts

@@ -81,7 +81,7 @@ def layer_table(spark: SparkSession, settings: Settings) -> DataFrame:
     )
 
 
-def parameter_table(averaged: DataFrame, settings: Settings, step: int) -> DataFrame:
+def parameter_table(averaged: DataFrame, settings: Settings) -> DataFrame:
     """Flat positions as (layer, name, index inside the named block)."""
     layer, name, base = F.lit(None).cast("int"), F.lit(None).cast("string"), F.lit(0)
     at = 0
@@ -101,7 +101,7 @@ def parameter_table(averaged: DataFrame, settings: Settings, step: int) -> DataF
         F.col("params").alias("value"),
         "m",
         "v",
-        F.lit(step).cast("bigint").alias("step"),
+        "step",
     )
 
 
@@ -144,6 +144,8 @@ def train(
 ) -> tuple[RunTables, ModelState]:
     """``epochs`` passes of parameter averaging over a *stored* example table.
 
+    The table's own ``split`` column decides what is trained on, if it has one.
+
     After each epoch the averaged parameters and the validation scores are
     written below ``root``; worker metrics are written by the workers, the
     run's report at the end.
@@ -151,9 +153,11 @@ def train(
     spark = examples.sparkSession
     tables = RunTables(root)
     workers = settings.workers or spark.sparkContext.defaultParallelism
-    parts = train_valid_split(
-        examples, train_percent=settings.train_percent, salt=settings.split_salt
-    )
+    parts = examples
+    if "split" not in examples.columns:
+        parts = train_valid_split(
+            examples, train_percent=settings.train_percent, salt=settings.split_salt
+        )
     training = parts.filter("split = 'train'").drop("split")
     validation = parts.filter("split = 'valid'").drop("split")
     rounds = plan_rounds(training, settings, workers)
@@ -166,7 +170,7 @@ def train(
         state, averaged = train_epoch(
             spark, training, rounds, state, settings, workers, f"{root}/workers/{here}"
         )
-        parameter_table(averaged, settings, state.step).write.mode("overwrite").parquet(
+        parameter_table(averaged, settings).write.mode("overwrite").parquet(
             f"{root}/params/{here}"
         )
         predicted = predict(

@@ -90,11 +90,11 @@ def test_predict_equals_the_local_forward_pass(spark, examples):
 
 def workers_table(spark, states):
     rows = [
-        (n, weight, [float(x) for x in p], [0.0] * len(p), [1.0] * len(p))
+        (n, weight, 4, [float(x) for x in p], [0.0] * len(p), [1.0] * len(p))
         for n, (weight, p) in enumerate(states)
     ]
-    rows.append((0, 8, None, None, None))
-    schema = "worker int, n bigint, params array<float>, m array<float>, v array<float>"
+    rows.append((0, 8, 3, None, None, None))
+    schema = "worker int, n bigint, iteration bigint, params array<float>, m array<float>, v array<float>"
     return spark.createDataFrame(rows, schema)
 
 
@@ -189,7 +189,15 @@ def test_both_stages(spark, stream, vectors, tmp_path):
     tokens = stream([int(t) for t in rng.integers(0, 12, 300)])
     tables = prepare_and_train(tokens, emb, small(epochs=1), str(tmp_path / "out"), "r")
     assert tables.epochs(spark).count() == 1
-    assert scan_examples(spark, str(tmp_path / "out/examples")).count() == 296
+    stored = scan_examples(spark, str(tmp_path / "out/examples"))
+    assert stored.count() == 296
+    sides = plan.train_valid_split(stored.drop("split")).select("example_id", "split")
+    assert sides.exceptAll(stored.select("example_id", "split")).isEmpty()
+    trained = tables.iterations(spark).agg(F.sum("n").alias("n")).first().n
+    training = stored.filter("split = 'train'")
+    assert trained == training.count()
+    scan = training._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in scan
 
 
 @pytest.mark.parametrize(
