@@ -249,7 +249,7 @@ def lookup_embedding(spark, sf_dir):
 
 def lookup_embedding_large(spark, sf_dir):
     """The same with the table taken as too large to broadcast."""
-    return _looked_up(spark, sf_dir, limit=0, block_rows=4096)
+    return _looked_up(spark, sf_dir, limit=0)
 
 
 def positional_encoding(spark, sf_dir):
@@ -273,7 +273,7 @@ def input_matrix(spark, sf_dir):
 
 def input_matrix_large(spark, sf_dir):
     """The same with the table taken as too large to broadcast."""
-    rows = by_step(training_set(spark, sf_dir, limit=0, lookup_rows=4096))
+    rows = by_step(training_set(spark, sf_dir, limit=0))
     return rows.select("example_id", "step", *spread("x", "row"))
 
 
@@ -287,7 +287,7 @@ def embed_windows(spark, sf_dir):
 def embed_windows_large(spark, sf_dir):
     windows = window_rows(sliding_window(sparse_stream(spark, sf_dir), WINDOW))
     rows = examples.embed_windows(
-        windows, embedding(spark, sf_dir), WINDOW, DIM, limit=0, lookup_rows=4096
+        windows, embedding(spark, sf_dir), WINDOW, DIM, limit=0
     )
     rows = by_step(rows)
     return rows.select("example_id", "step", *spread("x", "row"))

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from seqloom.functions.vectors import position_code, vector_add, zeros
 from seqloom.operators.lookup import (
     BROADCAST_BYTES,
-    LOOKUP_ROWS,
     fits_broadcast,
     lookup_embedding,
     vector_bytes,
@@ -43,7 +42,6 @@ def embed_windows(
     size: int,
     dim: int,
     limit: int = BROADCAST_BYTES,
-    lookup_rows: int = LOOKUP_ROWS,
 ) -> DataFrame:
     """``(example_id, x, y)`` from stored windows.
 
@@ -57,9 +55,7 @@ def embed_windows(
         F.col("example_id"),
         F.posexplode(F.concat("input_tokens", F.array("target_token"))).alias("_place", "_id"),
     )
-    found = lookup_embedding(
-        slots, embeddings, dim, idx="example_id", token="_id", limit=limit, block_rows=lookup_rows
-    )
+    found = lookup_embedding(slots, embeddings, dim, token="_id", limit=limit)
     whole = found.groupBy("example_id").agg(
         F.sort_array(F.collect_list(F.struct("_place", "vec"))).alias("_slots")
     )
@@ -99,7 +95,6 @@ def training_examples(
     idx: str = "idx",
     limit: int = BROADCAST_BYTES,
     block_rows: int = BLOCK_ROWS,
-    lookup_rows: int = LOOKUP_ROWS,
 ) -> DataFrame:
     """``(example_id, x, y)`` from a numbered token stream.
 
@@ -110,9 +105,7 @@ def training_examples(
         rows = tokens.select(idx, "token_id")
         windows = window_rows(sliding_window(rows, size, idx, block_rows=block_rows), idx)
         return _probe_windows(windows, embeddings, size, dim)
-    found = lookup_embedding(
-        tokens.select(idx, "token_id"), embeddings, dim, idx, limit=limit, block_rows=lookup_rows
-    )
+    found = lookup_embedding(tokens.select(idx, "token_id"), embeddings, dim, limit=limit)
     rows = sliding_window(
         found.select(idx, "vec"),
         size,

@@ -4,12 +4,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.functions.vectors import zeros
+from seqloom.storage import stage
 
 # A table is broadcast only when its counted rows times its row size stay below this.
 BROADCAST_BYTES = 256 * 1024 * 1024
 
-# Stream rows that share one copy of a needed vector when the table is not broadcast.
-LOOKUP_ROWS = 1_000_000
+# A token is hot when it holds more than 1/HOT_SHARE of an even shuffle partition; so there are
+# fewer than HOT_SHARE hot tokens per partition, however long the stream.
+HOT_SHARE = 4
 
 
 def dedupe_last(embeddings: DataFrame, order_by: list[str]) -> DataFrame:
@@ -37,26 +39,42 @@ def lookup_embedding(
     tokens: DataFrame,
     embeddings: DataFrame,
     dim: int,
-    idx: str = "idx",
     token: str = "token_id",
     limit: int = BROADCAST_BYTES,
-    block_rows: int = LOOKUP_ROWS,
 ) -> DataFrame:
     """Adds ``vec`` (zeros for an unknown token) and ``hit`` to every stream row.
 
-    ``embeddings`` holds one row per ``token_id``. A small table is broadcast. A
-    large one is first joined with the distinct tokens of each stream block, and
-    each block then meets only its own vectors: a token that makes up a third of
-    the stream costs one row per block, and no join group exceeds a block.
+    ``embeddings`` holds one row per ``token_id``. A small table is broadcast.
+    With a large one the stream is shuffled to it, all but the hot tokens: these
+    are counted first and only their vectors, a number of rows bounded by the
+    shuffle partitions, are broadcast to them.
     """
     table = embeddings.select(F.col("token_id").alias("_token"), "vec")
     if fits_broadcast(table, vector_bytes(dim), limit):
-        found = tokens.join(F.broadcast(table), F.col(token) == F.col("_token"), "left")
+        found = _probe(tokens, F.broadcast(table), token)
     else:
-        rows = tokens.withColumn("_block", F.expr(f"{idx} div {block_rows}"))
-        needed = rows.select(F.col("_block").alias("_in"), F.col(token).alias("_need")).distinct()
-        needed = needed.join(table.hint("merge"), F.col("_need") == F.col("_token"))
-        same = (F.col("_block") == F.col("_in")) & (F.col(token) == F.col("_need"))
-        found = rows.join(needed.hint("merge"), same, "left").drop("_block", "_in", "_need")
-    found = found.withColumn("hit", F.col("_token").isNotNull()).drop("_token")
+        hot = _hot_vectors(tokens, table, token)
+        if hot.isEmpty():
+            found = _probe(tokens, table.hint("merge"), token)
+        else:
+            same = F.col(token).eqNullSafe(F.col("_hot"))
+            rest = tokens.join(F.broadcast(hot.select("_hot")), same, "left_anti")
+            hot_rows = tokens.join(F.broadcast(hot), same).drop("_hot")
+            found = hot_rows.unionByName(_probe(rest, table.hint("merge"), token))
     return found.withColumn("vec", F.coalesce("vec", zeros(dim)))
+
+
+def _probe(tokens: DataFrame, table: DataFrame, token: str) -> DataFrame:
+    found = tokens.join(table, F.col(token) == F.col("_token"), "left")
+    return found.withColumn("hit", F.col("_token").isNotNull()).drop("_token")
+
+
+def _hot_vectors(tokens: DataFrame, table: DataFrame, token: str) -> DataFrame:
+    parts = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = tokens.groupBy(F.col(token).alias("_hot")).agg(F.count("*").alias("_rows"))
+    counts = stage(counts, "counts")
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    hot = counts.filter(F.col("_rows") * (HOT_SHARE * parts) > total).select("_hot")
+    known = table.join(F.broadcast(hot), F.col("_token") == F.col("_hot")).drop("_hot")
+    found = hot.join(known, F.col("_hot") == F.col("_token"), "left")
+    return stage(found.select("_hot", "vec", F.col("_token").isNotNull().alias("hit")), "hot")

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seqloom.operators import checks
+from seqloom.operators import checks, lookup
 from seqloom.operators.examples import embed_windows, keep_complete, training_examples
 from seqloom.operators.lookup import dedupe_last, fits_broadcast, lookup_embedding
 from seqloom.operators.windows import sliding_window, window_rows
@@ -64,7 +64,7 @@ def test_every_path_equals_brute_force(stream, vectors, limit, size):
     emb = vectors(table)
     wanted = brute(tokens, table, size, dim)
     rows = training_examples(
-        stream(tokens), emb, size, dim, limit=limit, block_rows=64, lookup_rows=50
+        stream(tokens), emb, size, dim, limit=limit, block_rows=64
     )
     found = collected(rows)
     assert found.keys() == wanted.keys()
@@ -72,23 +72,42 @@ def test_every_path_equals_brute_force(stream, vectors, limit, size):
         np.testing.assert_allclose(found[i][0], x, atol=1e-6)
         assert found[i][1] == y
     windows = window_rows(sliding_window(stream(tokens), size))
-    stored = collected(embed_windows(windows, emb, size, dim, limit=limit, lookup_rows=50))
+    stored = collected(embed_windows(windows, emb, size, dim, limit=limit))
     assert stored == found
 
 
 def test_lookup_keeps_every_row(stream, vectors):
     tokens = [1, 99, 1, 2, 99, 1]
     for limit in (2**28, 0):
-        found = lookup_embedding(stream(tokens), vectors(TABLE), 3, limit=limit, block_rows=2)
+        found = lookup_embedding(stream(tokens), vectors(TABLE), 3, limit=limit)
         rows = sorted(found.collect(), key=lambda r: r.idx)
         assert [r.token_id for r in rows] == tokens
         assert [r.hit for r in rows] == [t != 99 for t in tokens]
         assert rows[1].vec == [0, 0, 0] and rows[0].vec == f32(TABLE[1])
 
 
-def test_large_table_is_not_broadcast(stream, vectors):
-    found = lookup_embedding(stream([1, 2]), vectors(TABLE), 3, limit=0)
-    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+def test_large_table_is_shuffled_and_hot_tokens_are_not(spark, vectors):
+    emb = vectors({t: [float(t)] for t in range(400)})
+    even = spark.range(4000).selectExpr("id as idx", "cast(id % 400 as int) as token_id")
+    found = lookup_embedding(even, emb, 1, limit=0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    # a known, an unknown and a NULL token share most of the stream
+    skewed = even.selectExpr(
+        "idx",
+        "case when idx % 3 = 0 then 7 when idx % 5 = 0 then 9999 when idx % 7 = 0 then null "
+        "else token_id end as token_id",
+    )
+    hot = lookup._hot_vectors(
+        skewed, emb.withColumnRenamed("token_id", "_token"), "token_id"
+    ).collect()
+    assert sorted((str(r._hot), r.hit) for r in hot) == [
+        ("7", True), ("9999", False), ("None", False)
+    ]
+    large = lookup_embedding(skewed, emb, 1, limit=0)
+    small = lookup_embedding(skewed, emb, 1)
+    assert large.count() == 4000
+    assert large.exceptAll(small.select(large.columns)).isEmpty()
 
 
 def test_fits_broadcast_counts_rows(vectors):
