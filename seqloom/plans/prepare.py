@@ -24,7 +24,7 @@ def read_inputs(
 
 def prepare_windows(tokens: DataFrame, settings: Settings, path: str) -> None:
     """The compact output: ids only, ``embedding_dim`` times smaller than examples."""
-    require_rows(check_tokens(tokens), "tokens")
+    require_rows(check_tokens(tokens).select("n_rows"), "tokens")
     write_windows(window_rows(sliding_window(tokens, settings.window_size)), path)
 
 
@@ -39,7 +39,7 @@ def prepare_examples(
     check = check_embeddings(embeddings, dim)
     counts = {
         "embeddings": require_vectors(check) if strict else require_rows(check, "embeddings"),
-        "tokens": require_rows(check_tokens(tokens), "tokens"),
+        "tokens": require_rows(check_tokens(tokens).select("n_rows"), "tokens"),
     }
     examples = training_examples(tokens, embeddings, settings.window_size, dim)
     examples = train_valid_split(

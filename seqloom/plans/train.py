@@ -1,7 +1,10 @@
 """Train and score a next-vector model on stored examples; everything it learns is a table."""
 
+import math
+import re
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,7 +91,7 @@ def parameter_table(averaged: DataFrame, settings: Settings) -> DataFrame:
     blocks = []
     for number, label, shape in lstm.layout(settings.embedding_dim, settings.hidden_size):
         blocks.append((at, number, label))
-        at += _cells(shape)
+        at += math.prod(shape)
     for start, number, label in blocks:
         inside = F.col("pos") >= start
         layer = F.when(inside, number).otherwise(layer)
@@ -105,25 +108,16 @@ def parameter_table(averaged: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def _cells(shape) -> int:
-    n = 1
-    for length in shape:
-        n *= length
-    return n
-
-
 def load_model(
     spark: SparkSession, tables: RunTables, run_id: str, epoch: int, settings: Settings
 ) -> ModelState:
     """The stored model of one epoch (model-sized, so it may meet on the driver)."""
-    import numpy as np
-
     rows = tables.params(spark).filter((F.col("run_id") == run_id) & (F.col("epoch") == epoch))
     blocks = {}
     at = 0
     for number, label, shape in lstm.layout(settings.embedding_dim, settings.hidden_size):
         blocks[(number, label)] = at
-        at += _cells(shape)
+        at += math.prod(shape)
     table = rows.toArrow()
     if table.num_rows != at:
         raise ValueError(f"run {run_id} epoch {epoch} stores {table.num_rows} of {at} parameters")
@@ -150,6 +144,8 @@ def train(
     written below ``root``; worker metrics are written by the workers, the
     run's report at the end.
     """
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", run_id):
+        raise ValueError(f"run id {run_id!r} is no folder name")
     spark = examples.sparkSession
     tables = RunTables(root)
     workers = settings.workers or spark.sparkContext.defaultParallelism

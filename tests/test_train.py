@@ -183,6 +183,11 @@ def test_no_examples_is_an_error(spark, examples, tmp_path):
         plan.train(examples.filter("example_id < 0"), small(), str(tmp_path / "run"), "r")
 
 
+def test_run_id_names_a_folder(examples, tmp_path):
+    with pytest.raises(ValueError, match="folder name"):
+        plan.train(examples, small(), str(tmp_path / "run"), "a/b")
+
+
 def test_both_stages(spark, stream, vectors, tmp_path):
     rng = np.random.default_rng(4)
     emb = vectors({t: rng.normal(size=DIM).tolist() for t in range(12)})
