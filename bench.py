@@ -36,7 +36,7 @@ def session(name: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

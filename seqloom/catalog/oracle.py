@@ -303,7 +303,9 @@ FROM epochs GROUP BY run_id
     "run_summary": f"""
 WITH {ITERATIONS},
 runs AS (
-  SELECT run_id, (epoch_us(max(end_ts)) // 1000 - epoch_us(min(start_ts)) // 1000) // 60000 AS total_minutes,
+  SELECT run_id,
+         (epoch_us(max(end_ts)) // 1000 - epoch_us(min(start_ts)) // 1000) // 60000
+           AS total_minutes,
          count(*) AS epochs,
          CAST(CAST(sum(duration_ms) AS BIGINT) // count(*) AS BIGINT) AS average_epoch_ms
   FROM epochs GROUP BY run_id)
@@ -322,7 +324,8 @@ averages AS (
   SELECT epoch, avg(mse) AS mse, avg(rmse) AS rmse, avg(mae) AS mae, avg(r2) AS r2
   FROM scores GROUP BY epoch),
 durations AS (
-  SELECT epoch, epoch_us(max(ts)) // 1000 - epoch_us(min(ts)) // 1000 AS duration_ms FROM days GROUP BY epoch)
+  SELECT epoch, epoch_us(max(ts)) // 1000 - epoch_us(min(ts)) // 1000 AS duration_ms
+  FROM days GROUP BY epoch)
 SELECT d.epoch, d.duration_ms, round(mse, 6) AS mse, round(rmse, 6) AS rmse,
        round(mae, 6) AS mae, round(r2, 6) AS r2
 FROM durations d LEFT JOIN averages a ON a.epoch = d.epoch

@@ -8,7 +8,6 @@ from seqloom.operators.lookup import (
     BROADCAST_BYTES,
     fits_broadcast,
     lookup_embedding,
-    vector_bytes,
 )
 from seqloom.operators.windows import BLOCK_ROWS, sliding_window, window_rows
 
@@ -49,7 +48,7 @@ def embed_windows(
     per embedding row and place instead of once per example: with a broadcast
     table every window place is one map-side probe and the windows never move.
     """
-    if size <= MAX_JOINS and fits_broadcast(embeddings, vector_bytes(dim, size + 1), limit):
+    if size <= MAX_JOINS and fits_broadcast(embeddings, dim, size + 1, limit):
         return _probe_windows(windows, embeddings, size, dim)
     slots = windows.select(
         F.col("example_id"),
@@ -101,7 +100,7 @@ def training_examples(
     With a broadcast table only ids are shuffled to build windows. Otherwise
     each token's vector is looked up once and windows are built over vectors.
     """
-    if size <= MAX_JOINS and fits_broadcast(embeddings, vector_bytes(dim, size + 1), limit):
+    if size <= MAX_JOINS and fits_broadcast(embeddings, dim, size + 1, limit):
         rows = tokens.select(idx, "token_id")
         windows = window_rows(sliding_window(rows, size, idx, block_rows=block_rows), idx)
         return _probe_windows(windows, embeddings, size, dim)

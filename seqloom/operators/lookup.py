@@ -24,13 +24,25 @@ def dedupe_last(embeddings: DataFrame, order_by: list[str]) -> DataFrame:
     return embeddings.groupBy("token_id").agg(F.max_by("vec", order).alias("vec"))
 
 
-def fits_broadcast(table: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the counted table stays below ``limit``; counts at most one row too many."""
-    most = max(limit // row_bytes, 0)
-    return table.limit(most + 1).count() <= most
+def fits_broadcast(
+    table: DataFrame, dim: int, copies: int = 1, limit: int = BROADCAST_BYTES
+) -> bool:
+    """Whether ``copies`` of the table's vectors stay below ``limit``.
+
+    Rows and their real vector lengths are counted, in one job over at most one
+    row more than vectors of ``dim`` would allow.
+    """
+    most = max(limit // _vector_bytes(dim, copies), 0)
+    lengths = table.select(F.greatest(F.size("vec"), F.lit(dim)).cast("bigint").alias("_length"))
+    found = lengths.limit(most + 1).agg(
+        F.count("*").alias("rows"), F.sum("_length").alias("cells")
+    ).first()
+    if found.rows > most:
+        return False
+    return found.rows * _vector_bytes(0, copies) + 4 * copies * (found.cells or 0) <= limit
 
 
-def vector_bytes(dim: int, copies: int = 1) -> int:
+def _vector_bytes(dim: int, copies: int) -> int:
     """Upper estimate for a broadcast row of ``copies`` float vectors."""
     return 64 + copies * (32 + 4 * dim)
 
@@ -50,7 +62,7 @@ def lookup_embedding(
     shuffle partitions, are broadcast to them.
     """
     table = embeddings.select(F.col("token_id").alias("_token"), "vec")
-    if fits_broadcast(table, vector_bytes(dim), limit):
+    if fits_broadcast(table, dim, limit=limit):
         found = _probe(tokens, F.broadcast(table), token)
     else:
         hot = _hot_vectors(tokens, table, token)

@@ -110,10 +110,15 @@ def test_large_table_is_shuffled_and_hot_tokens_are_not(spark, vectors):
     assert large.exceptAll(small.select(large.columns)).isEmpty()
 
 
-def test_fits_broadcast_counts_rows(vectors):
-    assert fits_broadcast(vectors(TABLE), 100, 400)
-    assert not fits_broadcast(vectors(TABLE), 100, 399)
-    assert not fits_broadcast(vectors(TABLE), 100, 0)
+def test_fits_broadcast_counts_rows_and_cells(vectors):
+    table = vectors(TABLE)
+    row = 64 + 2 * (32 + 4 * 3)
+    assert fits_broadcast(table, 3, 2, 4 * row)
+    assert not fits_broadcast(table, 3, 2, 4 * row - 1)
+    assert not fits_broadcast(table, 3, 2, 0)
+    longer = vectors({**TABLE, 4: [0.5] * 1000})
+    assert not fits_broadcast(longer, 3, 2, 4 * row)
+    assert fits_broadcast(longer, 3, 2, 4 * row + 2 * 4 * 997)
 
 
 def test_last_vector_of_an_id_wins(spark):
