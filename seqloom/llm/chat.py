@@ -25,11 +25,12 @@ LOSS_ROLE = "assistant"
 _BEHIND = r"(?:/?(?:INST|SYS|ROLE)|TEXT)\]"
 _ESCAPE = rf"(<(?=\\*/?s>)|\[(?=\\*{_BEHIND}))"
 _UNESCAPE = rf"(<(?=\\+/?s>)|\[(?=\\+{_BEHIND}))\\"
+_MARK = rf"</?s>|\[{_BEHIND}"
 _TURN = r"(?s)(<s>|\[INST\]|\[SYS\]|\[ROLE\])(.*?)(</s>|\[/INST\]|\[/SYS\]|\[/ROLE\])"
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, _ESCAPE, r"$1\\\\")
+    return F.regexp_replace(text, _ESCAPE, r"$1\\")
 
 
 def unescape(text: Column) -> Column:
@@ -53,10 +54,6 @@ def _closing(turn: Column) -> Column:
     return _by_role(turn["role"], 2, OTHER[2])
 
 
-def _turn(turn: Column, body: Column) -> Column:
-    return F.concat(_opening(turn), body, _closing(turn))
-
-
 def parse(formatted: Column) -> Column:
     """The turns (role, text) of a formatted conversation, by the grammar alone."""
 
@@ -75,12 +72,6 @@ def parse(formatted: Column) -> Column:
     return F.zip_with(F.regexp_extract_all(formatted, F.lit(_TURN), F.lit(1)), F.regexp_extract_all(formatted, F.lit(_TURN), F.lit(2)), read)
 
 
-def _alone(turn: Column) -> Column:
-    """Whether a turn that is not escaped is read back as it is, and nothing with it."""
-    read = parse(_turn(turn, turn["text"]))
-    return (F.size(read) == 1) & (read[0] == turn)
-
-
 def format_chats(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row per conversation: (id, formatted, turns, mask).
 
@@ -89,34 +80,44 @@ def format_chats(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "tu
     empty table gives no rows. Other columns are not read. A single conversation is one value, which
     must fit a task.
 
-    Every turn is rendered, read back by ``parse`` and compared; turns that are not identical are
-    escaped. The whole conversation is then read back from ``formatted`` into ``turns``; if it still
-    differs, all its turns are escaped, which always reads back. ``mask`` has the runs (chars, loss)
-    of ``formatted`` in code points: the loss falls on the assistant's texts without their marks.
+    Every turn is rendered, read back by ``parse`` and compared; a turn that is not identical, or whose
+    text holds a mark, is escaped. The whole conversation is then read back from ``formatted`` into
+    ``turns``; if it still differs, all its turns are escaped, and a difference that is left is an
+    error. ``mask`` has the runs (chars, loss) of ``formatted`` in code points: the loss falls on the
+    assistant's texts without their marks.
     """
-    turn = F.struct(F.col(turn_col).alias("turn"), F.coalesce(role_col, F.lit("")).alias("role"), F.coalesce(text_col, F.lit("")).alias("text"))
-    chats = rows.groupBy(F.col(conv_col).alias("id")).agg(F.sort_array(F.collect_list(turn)).alias("rows"))
-    source = chats.select("id", F.transform("rows", lambda r: F.struct(r["role"].alias("role"), r["text"].alias("text"))).alias("source"))
-    bodies = source.withColumn("bodies", F.transform("source", lambda t: F.when(_alone(t), t["text"]).otherwise(escape(t["text"]))))
-    read = bodies.withColumn("formatted", _joined("source", "bodies")).withColumn("turns", parse(F.col("formatted")))
-    safe = F.transform("source", lambda t: escape(t["text"]))
-    same = F.col("turns") == F.col("source")
-    sure = read.withColumn("safe", F.when(same, F.col("bodies")).otherwise(safe)).withColumn(
-        "formatted", F.when(same, F.col("formatted")).otherwise(_joined("source", "safe"))
+    turn = F.col("turn")
+    source = rows.select(
+        F.col(conv_col).alias("id"),
+        F.struct(F.coalesce(role_col, F.lit("")).alias("role"), F.coalesce(text_col, F.lit("")).alias("text")).alias("turn"),
+        F.col(turn_col).alias("place"),
     )
-    sure = sure.withColumn("turns", F.when(same, F.col("turns")).otherwise(parse(F.col("formatted"))))
-    runs = F.zip_with(
-        "source",
-        "safe",
-        lambda t, b: F.array(
-            F.struct(F.length(_opening(t)).alias("chars"), F.lit(False).alias("loss")),
-            F.struct(F.length(b).alias("chars"), (t["role"] == LOSS_ROLE).alias("loss")),
-            F.struct(F.length(_closing(t)).alias("chars"), F.lit(False).alias("loss")),
+    marked = source.withColumn("opening", _opening(turn)).withColumn("closing", _closing(turn)).withColumn("safe", escape(turn["text"]))
+    read = marked.withColumn("read", parse(F.concat("opening", turn["text"], "closing")))
+    alone = (F.size("read") == 1) & (F.get("read", F.lit(0)) == turn) & ~turn["text"].rlike(_MARK)
+    ready = read.withColumn("body", F.when(alone, turn["text"]).otherwise(F.col("safe")))
+    # place, role and text stand first and so give the order
+    row = F.struct("place", "turn", "opening", "body", "safe", "closing")
+    chats = ready.groupBy("id").agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    first = chats.withColumn("formatted", _joined("body")).withColumn("turns", parse(F.col("formatted")))
+    same = F.col("turns") == F.col("rows")["turn"]
+    sure = first.select(
+        "id",
+        "rows",
+        same.alias("same"),
+        F.when(same, F.col("formatted")).otherwise(_joined("safe")).alias("formatted"),
+    ).withColumn("turns", parse(F.col("formatted")))
+    checked = F.when(F.col("turns") == F.col("rows")["turn"], F.col("turns")).otherwise(F.raise_error(F.lit("a conversation does not read back")))
+    runs = F.transform(
+        "rows",
+        lambda r: F.array(
+            F.struct(F.length(r["opening"]).alias("chars"), F.lit(False).alias("loss")),
+            F.struct(F.length(F.when(F.col("same"), r["body"]).otherwise(r["safe"])).alias("chars"), (r["turn"]["role"] == LOSS_ROLE).alias("loss")),
+            F.struct(F.length(r["closing"]).alias("chars"), F.lit(False).alias("loss")),
         ),
     )
-    checked = F.when(F.col("turns") == F.col("source"), F.col("turns")).otherwise(F.raise_error(F.lit("a conversation does not read back")))
     return sure.select(F.col("id").alias(conv_col), "formatted", checked.alias("turns"), F.flatten(runs).alias("mask"))
 
 
-def _joined(source: str, bodies: str) -> Column:
-    return F.array_join(F.zip_with(source, bodies, _turn), "")
+def _joined(body: str) -> Column:
+    return F.array_join(F.transform("rows", lambda r: F.concat(r["opening"], r[body], r["closing"])), "")

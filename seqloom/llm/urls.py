@@ -98,12 +98,14 @@ def declared_links(pages: DataFrame, url_col: str = "url", html_col: str = "html
 
 
 def canonical_form(url: Column) -> Column:
-    """The address a site redirects to by convention: https, host in lower case, no fragment, no ``utm_`` parameters, a path."""
+    """The address a site redirects to by convention: https, host in lower case, no fragment, no ``utm_`` parameters.
+
+    Host and path stay, so by itself this form never changes what rules say.
+    """
     behind = _behind_scheme(url)
     query = F.regexp_extract(behind, r"^[^?#]*\?([^#]*)", 1)
     kept = F.array_join(F.filter(F.split(query, "&"), lambda p: ~p.startswith("utm_") & (p != "")), "&")
-    path = F.when(path_of(url) == "", F.lit("/")).otherwise(path_of(url))
-    whole = F.concat(F.lit("https://"), host_of(url), path, F.when(kept == "", F.lit("")).otherwise(F.concat(F.lit("?"), kept)))
+    whole = F.concat(F.lit("https://"), host_of(url), path_of(url), F.when(kept == "", F.lit("")).otherwise(F.concat(F.lit("?"), kept)))
     return F.when(url.rlike(r"(?i)^https?://[^/?#]"), whole).otherwise(url)
 
 
