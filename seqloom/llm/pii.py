@@ -140,18 +140,23 @@ class Field(NamedTuple):
     skip: np.ndarray
 
 
-def labels_of(tokens: Tokens, good: list[Span], bad: list[Span], shorter: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Labels by the rules, and which tokens the rules have decided: those in a match, kept or failed."""
-    labels, known = np.zeros(len(tokens.spans), int), np.zeros(len(tokens.spans), bool)
+def labels_of(tokens: Tokens, good: list[Span], bad: list[Span]) -> tuple[np.ndarray, np.ndarray]:
+    """Labels by the rules (0: none), and for each token the labels that the rules leave open.
+
+    A match that is kept decides its tokens, one that fails its check rules out its kind.
+    """
+    labels, open_ = np.zeros(len(tokens.spans), int), np.ones((len(tokens.spans), len(KINDS) + 1), bool)
     starts = np.array([s for s, _ in tokens.spans], int)
     ends = np.array([e for _, e in tokens.spans], int)
     for spans, found in ((bad, False), (good, True)):
-        # failed matches of a digit or two say nothing
-        for span in (s for s in spans if found or s.end - s.start >= ALIKE_DIGITS):
+        for span in spans:
             inside = slice(np.searchsorted(ends, span.start, "right"), np.searchsorted(starts, span.end, "left"))
-            known[inside] = True
-            labels[inside] = span.kind + 1 if found else 0
-    return labels, known
+            if found:
+                labels[inside] = span.kind + 1
+                open_[inside] = np.arange(len(KINDS) + 1) == span.kind + 1
+            else:
+                open_[inside, span.kind + 1] = False
+    return labels, open_
 
 
 def fit(docs: DataFrame, text_col: str = "text", rows: int = TRAIN_ROWS) -> Field:
@@ -222,15 +227,15 @@ def _softmax(logs: np.ndarray) -> np.ndarray:
     return weights / weights.sum(axis=1, keepdims=True)
 
 
-def beliefs(field: Field, tokens: Tokens, labels: np.ndarray, known: np.ndarray) -> np.ndarray:
+def beliefs(field: Field, tokens: Tokens, open_: np.ndarray) -> np.ndarray:
     """Beliefs in the labels of all tokens of a document, by loopy sum-product message passing.
 
-    Tokens that the rules have decided are fixed and so pass their labels on. All messages of a
+    Labels that are not open have no weight, so tokens that the rules have decided pass their labels on. All messages of a
     round are computed at once, in time and memory that grow with the number of links.
     """
     rows = [[field.names[f] for f in fs if f in field.names] for fs in tokens.features]
     logs = np.array([field.unary[r].sum(axis=0) for r in rows]) + field.unary[-1]
-    logs[known] = np.where(np.arange(logs.shape[1]) == labels[known][:, None], 0.0, -60.0)
+    logs[~open_] = -60.0
     links = np.array(tokens.chain + tokens.skip, int).reshape(-1, 2)
     if len(links):
         tables = np.concatenate([np.repeat(t[None], n, axis=0) for t, n in ((field.chain, len(tokens.chain)), (field.skip, len(tokens.skip)))])
@@ -262,9 +267,10 @@ def find(text: str, field: Field) -> list[tuple[str, int, int, bool]]:
     good, bad = base_spans(text)
     found = [(s.start, s.kind, s.end, True) for s in good]
     tokens = read_tokens(text)
-    labels, known = labels_of(tokens, good, bad)
-    if len(labels) and not known.all():
-        belief = beliefs(field, tokens, labels, known)
+    labels, open_ = labels_of(tokens, good, bad)
+    known = labels > 0
+    if not known.all():
+        belief = beliefs(field, tokens, open_)
         chosen = np.where(belief.max(axis=1) >= LEAST_BELIEF, belief.argmax(axis=1), 0)
         chosen[known] = 0
         beside = {j for _, j in tokens.chain}

@@ -5,11 +5,11 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.catalog.spark_queries import ship_package
-from seqloom.llm import chat, decontaminate, language, packing, quantised, simhash, urls
+from seqloom.llm import chat, decontaminate, language, lines, packing, pii, quantised, secret_scan, simhash, urls
 from seqloom.llm.common import table
 from seqloom.storage import stage
 
@@ -21,6 +21,29 @@ def tokenizer_path() -> str:
     return os.path.realpath(public_tokenizers.path(packing.TOKENIZER))
 
 
+def _span_list(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _of_kind(kind: str) -> Callable[[Column], Column]:
+    return lambda span: span["kind"] == kind
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents")
+    found = pii.personal_data(docs, pii.fit(docs))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, _of_kind(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(_span_list(base), 256).alias("base_sha256"), _span_list(F.col("spans")).alias("spans"))
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate for a secret in every document, judged."""
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rule and a verdict for every page."""
     return urls.judge_urls(table(spark, sf_dir, "pages")).drop("url")
@@ -53,6 +76,12 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document after fuzzy line dedup, as a digest."""
+    kept = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "lines_removed", F.length("text").cast("long").alias("chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document: its text, its declared language and its source as host."""
     ship_package(spark)
@@ -84,13 +113,17 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_pii,
+        op2_secrets,
         op3_urls,
         op4_vectors,
         op5_chat,
+        op6_lines,
         op7_language,
         op8_packing,
         op9_decontamination,
         op10_simhash,
     )
 }
+#: What SQL can say of these is in the tests, as plain versions; iterations, models and hashes it cannot.
 ORACLE: dict[str, str] = {}
