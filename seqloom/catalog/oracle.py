@@ -55,18 +55,23 @@ found AS (
   FROM tokens t LEFT JOIN embeddings e ON e.vec_id = t.token_id)
 """
 
-ENCODING = f"""
+MESSY_WINDOW = 20
+
+
+def encoding(size: int) -> str:
+    return f"""
 encoding AS (
   SELECT step, list_transform(range({DIM}), lambda i: CAST(
            CASE WHEN i % 2 = 0
                 THEN sin(CAST(step AS DOUBLE) / pow(10000.0, 2 * (i // 2) / {DIM}.0::DOUBLE))
                 ELSE cos(CAST(step AS DOUBLE) / pow(10000.0, 2 * (i // 2) / {DIM}.0::DOUBLE))
            END AS FLOAT)) AS pe
-  FROM (SELECT unnest(range({WINDOW})) AS step))
+  FROM (SELECT unnest(range({size})) AS step))
 """
 
+
 MATRIX = f"""
-{SPARSE}, {ENCODING},
+{SPARSE}, {encoding(WINDOW)},
 matrix AS (
   SELECT y.event_id AS example_id, CAST(p.step AS INTEGER) AS step, y.vec AS y,
          list_transform(range(1, {DIM + 1}), lambda k: x.vec[k] + p.pe[k]) AS x
@@ -75,6 +80,71 @@ matrix AS (
   WHERE y.event_id >= {WINDOW})
 """
 
+MESSY = f"""
+tokens AS (
+  SELECT event_id, CAST(user_id * 7 % 600 AS INTEGER) AS token_id FROM events),
+found AS (
+  SELECT t.event_id,
+         CASE WHEN e.vec_id IS NULL OR e.vec_id % 7 = 0 THEN {ZEROS}
+              WHEN e.vec_id % 11 = 0 THEN e.embedding[1:5] ELSE e.embedding END AS vec
+  FROM tokens t LEFT JOIN embeddings e ON e.vec_id = t.token_id)
+"""
+
+
+def messy_matrix(size: int) -> str:
+    return f"""
+WITH {MESSY}, {encoding(size)},
+matrix AS (
+  SELECT y.event_id AS example_id, CAST(p.step AS INTEGER) AS step, y.vec AS y,
+         CASE WHEN len(x.vec) = {DIM}
+              THEN list_transform(range(1, {DIM + 1}), lambda k: x.vec[k] + p.pe[k])
+              ELSE {ZEROS} END AS x
+  FROM found y CROSS JOIN encoding p
+  JOIN found x ON x.event_id = y.event_id - {size} + p.step
+  WHERE y.event_id >= {size})
+SELECT example_id, step, CAST(len(y) AS INTEGER) AS y_size, CAST(y[1] AS DOUBLE) AS y_0,
+       {spread('x', 'x')}
+FROM matrix
+"""
+
+
+def parameter(place: str) -> str:
+    return f"((({place}) * 37) % 101 - 50) / CAST(500 AS DOUBLE)"
+
+
+def predicted(steps: int = WINDOW) -> str:
+    """Four gates of one hidden unit, step after step."""
+    gates = ", ".join(
+        f"list_sum(list_transform(range({DIM}), lambda k: CAST(x[k + 1] AS DOUBLE) * "
+        f"({parameter(f'k * 4 + {g}')}))) + {parameter(str(4 * DIM + 4 + g))} AS z{g}"
+        for g in range(4)
+    )
+    parts = [
+        f"gates AS (SELECT example_id, step, y, {gates} FROM matrix)",
+        "state0 AS (SELECT DISTINCT example_id, CAST(0 AS DOUBLE) AS h, CAST(0 AS DOUBLE) AS c FROM gates)",
+    ]
+    for t in range(steps):
+        z = [f"z{g} + h * {parameter(str(4 * DIM + g))} AS a{g}" for g in range(4)]
+        parts.append(
+            f"open{t} AS (SELECT g.example_id, g.y, c, {', '.join(z)} "
+            f"FROM gates g JOIN state{t} s ON s.example_id = g.example_id WHERE step = {t})"
+        )
+        parts.append(
+            f"cell{t} AS (SELECT example_id, y, a2, "
+            f"c / (1 + exp(-a1)) + tanh(a3) / (1 + exp(-a0)) AS c FROM open{t})"
+        )
+        parts.append(
+            f"state{t + 1} AS (SELECT example_id, y, c, tanh(c) / (1 + exp(-a2)) AS h FROM cell{t})"
+        )
+    states = " UNION ALL ".join(f"SELECT y, h FROM state{t + 1}" for t in range(steps))
+    out = f"h * ({parameter(f'{4 * DIM + 8} + dim')}) + {parameter(f'{5 * DIM + 8} + dim')}"
+    parts.append(
+        f"cells AS (SELECT dim, y, {out} AS p FROM ("
+        f"SELECT unnest(range({DIM})) AS dim, CAST(unnest(y) AS DOUBLE) AS y, h FROM ({states})))"
+    )
+    return ",\n".join(parts)
+
+
 INPUT_MATRIX = f"WITH {MATRIX} SELECT example_id, step, {spread('x', 'x')} FROM matrix"
 
 LOOKUP = f"WITH {SPARSE} SELECT event_id, token_id, hit, {spread('v', 'vec')} FROM found"
@@ -102,12 +172,13 @@ ID_LISTS = """
 raw AS (
   SELECT event_id, user_id, event_type, regexp_extract(props, '([0-9]+)', 1) AS k FROM events),
 lists AS (
-  SELECT event_id, CASE event_type
+  SELECT event_id, CASE WHEN event_id % 50 = 0 THEN ' [ , ] ' WHEN event_id % 50 = 1 THEN NULL
+    ELSE CASE event_type
     WHEN 'error' THEN '[' || user_id || ', x, ' || event_id || ']'
     WHEN 'view' THEN ' [' || user_id || ',,' || k || '] '
     WHEN 'click' THEN user_id || ' ' || event_id || ' -' || k
     WHEN 'purchase' THEN '[[' || user_id || ']]'
-    ELSE '[' || user_id || ', ' || event_id || ']' END AS tokens
+    ELSE '[' || user_id || ', ' || event_id || ']' END END AS tokens
   FROM raw),
 pieces AS (
   SELECT event_id, tokens, list_filter(string_split_regex(
@@ -117,7 +188,7 @@ pieces AS (
 parsed AS (
   SELECT event_id, tokens,
          CASE WHEN len(list_filter(ps, lambda s: TRY_CAST(s AS INTEGER) IS NULL)) = 0
-              THEN CAST(ps AS INTEGER[]) ELSE [] END AS ids
+              THEN CAST(ps AS INTEGER[]) ELSE [] END AS ids, len(ps) AS n_pieces
   FROM pieces)
 """
 
@@ -128,8 +199,10 @@ log AS (
          CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) AS gradient_norm
   FROM events),
 epochs AS (
-  SELECT run_id, CAST(day AS INTEGER) AS epoch, min(ts) AS start_ts, max(ts) AS end_ts,
-         epoch_us(max(ts)) // 1000 - epoch_us(min(ts)) // 1000 AS duration_ms
+  SELECT run_id, CAST(day AS INTEGER) AS epoch,
+         epoch_us(date_trunc('day', min(ts))) // 1000 AS start_ts,
+         epoch_us(max(ts)) // 1000 AS end_ts,
+         epoch_us(max(ts)) // 1000 - epoch_us(date_trunc('day', min(ts))) // 1000 AS duration_ms
   FROM log GROUP BY run_id, day)
 """
 
@@ -188,6 +261,10 @@ SELECT row_number() OVER (ORDER BY conv_id, turn, pos) - 1 AS idx, token_id FROM
 """,
     "scan_embeddings_csv": f"""
 SELECT CAST(vec_id AS INTEGER) AS token_id, {spread('v', 'embedding')} FROM embeddings
+""",
+    "scan_embeddings_csv_bad_ids": f"""
+SELECT CAST(vec_id AS INTEGER) AS token_id, {spread('v', 'embedding')} FROM embeddings
+WHERE vec_id % 5 <> 0
 """,
     "pack_vector": """
 SELECT p_partkey, CAST(CAST(p_size AS FLOAT) AS DOUBLE) AS v_0,
@@ -196,8 +273,7 @@ FROM part
 """,
     "stored_windows": EVENT_WINDOWS,
     "examples_text": f"""
-WITH {SPARSE}
-SELECT event_id AS example_id, {spread('y', 'vec')} FROM found WHERE event_id >= {WINDOW}
+WITH {MATRIX} SELECT example_id, step, {spread('x', 'x')}, {spread('y', 'y')} FROM matrix
 """,
     "dedupe_by_key_last": """
 SELECT CAST(user_id AS INTEGER) AS token_id,
@@ -206,6 +282,15 @@ FROM events GROUP BY user_id
 """,
     "lookup_embedding": LOOKUP,
     "lookup_embedding_large": LOOKUP,
+    "lookup_embedding_hot": f"""
+WITH tokens AS (
+  SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 7
+                        ELSE CAST(user_id * 7 % 600 AS INTEGER) END AS token_id
+  FROM events)
+SELECT event_id, CAST(token_id AS INTEGER) AS token_id, vec_id IS NOT NULL AS hit,
+       {spread('v', f'COALESCE(embedding, {ZEROS})')}
+FROM tokens LEFT JOIN embeddings ON vec_id = token_id
+""",
     "positional_encoding": "SELECT conv_id, turn, "
     + ", ".join(
         f"CAST(CAST({'cos' if i % 2 else 'sin'}(CAST(turn AS DOUBLE) / "
@@ -217,6 +302,15 @@ FROM events GROUP BY user_id
     "input_matrix_large": INPUT_MATRIX,
     "embed_windows": INPUT_MATRIX,
     "embed_windows_large": INPUT_MATRIX,
+    "input_matrix_messy": messy_matrix(WINDOW),
+    "input_matrix_messy_large": messy_matrix(WINDOW),
+    "input_matrix_messy_wide": messy_matrix(MESSY_WINDOW),
+    "embed_windows_messy_large": messy_matrix(WINDOW),
+    "keep_complete_examples": f"""
+WITH {MESSY}
+SELECT event_id AS example_id, {spread('y', 'vec')} FROM found
+WHERE event_id >= {WINDOW} AND len(vec) = {DIM}
+""",
     "training_pairs": f"""
 WITH {MATRIX} SELECT example_id, step, {spread('x', 'x')}, {spread('y', 'y')} FROM matrix
 """,
@@ -250,7 +344,7 @@ FROM embeddings
     "check_lists": f"""
 WITH {ID_LISTS}
 SELECT count(*) AS n_rows, count(*) FILTER (WHERE tokens IS NULL) AS null_lists,
-       count(*) FILTER (WHERE len(ids) = 0) AS bad_lists
+       count(*) FILTER (WHERE n_pieces > 0 AND len(ids) = 0) AS bad_lists
 FROM parsed
 """,
     "train_valid_split": """
@@ -283,11 +377,11 @@ SELECT run_id, CAST(day AS INTEGER) AS epoch, iteration, loss FROM log WHERE ite
     "throughput": f"""
 WITH {ITERATIONS}
 SELECT run_id, count(*) AS iterations,
-       round(count(*) / nullif((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 0), 6)
+       round(count(*) / nullif((epoch_us(max(ts)) - epoch_us(date_trunc('day', min(ts)))) / 1e6, 0), 6)
          AS iterations_per_second
 FROM log GROUP BY run_id
 """,
-    "epoch_durations": f"WITH {ITERATIONS} SELECT run_id, epoch, duration_ms FROM epochs",
+    "epoch_durations": f"WITH {ITERATIONS} SELECT * FROM epochs",
     "epoch_final_metrics": f"""
 WITH {ITERATIONS}
 SELECT run_id, CAST(day AS INTEGER) AS epoch, arg_max(loss, iteration) AS loss,
@@ -303,13 +397,13 @@ FROM epochs GROUP BY run_id
     "run_summary": f"""
 WITH {ITERATIONS},
 runs AS (
-  SELECT run_id,
-         (epoch_us(max(end_ts)) // 1000 - epoch_us(min(start_ts)) // 1000) // 60000
-           AS total_minutes,
+  SELECT run_id, min(start_ts) AS start_ts, max(end_ts) AS end_ts,
+         (max(end_ts) - min(start_ts)) // 60000 AS total_minutes,
          count(*) AS epochs,
          CAST(CAST(sum(duration_ms) AS BIGINT) // count(*) AS BIGINT) AS average_epoch_ms
   FROM epochs GROUP BY run_id)
-SELECT run_id, total_minutes, epochs, average_epoch_ms, c_nationkey AS batch_size
+SELECT run_id, start_ts, end_ts, total_minutes, epochs, average_epoch_ms,
+       c_nationkey AS batch_size, CAST(len(c_name) AS INTEGER) AS hidden_size
 FROM runs LEFT JOIN customer ON c_custkey = run_id
 """,
     "epoch_validation": f"""
@@ -324,7 +418,8 @@ averages AS (
   SELECT epoch, avg(mse) AS mse, avg(rmse) AS rmse, avg(mae) AS mae, avg(r2) AS r2
   FROM scores GROUP BY epoch),
 durations AS (
-  SELECT epoch, epoch_us(max(ts)) // 1000 - epoch_us(min(ts)) // 1000 AS duration_ms
+  SELECT epoch,
+         epoch_us(max(ts)) // 1000 - epoch_us(date_trunc('day', min(ts))) // 1000 AS duration_ms
   FROM days GROUP BY epoch)
 SELECT d.epoch, d.duration_ms, round(mse, 6) AS mse, round(rmse, 6) AS rmse,
        round(mae, 6) AS mae, round(r2, 6) AS r2
@@ -348,5 +443,92 @@ SELECT label AS layer, COALESCE(max(r_name), 'Unknown') AS kind,
        CASE WHEN max(r_name) IS NULL THEN 0 ELSE 64 END AS n_out,
        CASE WHEN max(r_name) IS NULL THEN 'Unknown' ELSE 'tanh' END AS activation
 FROM embeddings LEFT JOIN region ON r_regionkey = label GROUP BY label
+""",
+    "predict_untrained": f"""
+WITH {MATRIX},
+{predicted()}
+SELECT count(*) AS dims, count(r2) AS r2_dims, round(avg(mse), 4) AS mse,
+       round(avg(rmse), 4) AS rmse, round(avg(mae), 4) AS mae, round(avg(r2), 4) AS r2
+FROM (SELECT dim, {SCORES} FROM cells GROUP BY dim)
+""",
+    "train_metrics": f"""
+WITH kept AS (
+  SELECT count(*) AS rows_trained FROM events
+  WHERE event_id >= {WINDOW}
+    AND CAST('0x' || substr(md5('split:' || event_id), 1, 8) AS BIGINT) % 100 < 80)
+SELECT CAST(epoch AS INTEGER) AS epoch, rows_trained, CAST({DIM} AS BIGINT) AS dims
+FROM kept CROSS JOIN (SELECT unnest([1, 2]) AS epoch)
+""",
+    "average_parameters": f"""
+WITH cells AS (
+  SELECT label + 1 AS n, vec_id, CAST(unnest(range({DIM})) AS INTEGER) AS pos,
+         unnest(embedding) AS x
+  FROM embeddings),
+means AS (
+  SELECT pos, max(vec_id) AS step, avg(CAST(x AS DOUBLE)) AS params,
+         avg(CAST(x * x AS DOUBLE)) AS m, avg(CAST(abs(x) AS DOUBLE)) AS v,
+         sum(CAST(x AS DOUBLE) * n) / sum(n) AS wp, sum(CAST(x * x AS DOUBLE) * n) / sum(n) AS wm,
+         sum(CAST(abs(x) AS DOUBLE) * n) / sum(n) AS wv
+  FROM cells GROUP BY pos)
+SELECT pos, step, {', '.join(
+    f'round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 6) AS {name}'
+    for c, name in zip(
+        ('params', 'm', 'v', 'wp', 'wm', 'wv'),
+        ('params', 'm', 'v', 'weighted_params', 'weighted_m', 'weighted_v'),
+        strict=True))}
+FROM means
+""",
+    "round_plan": """
+SELECT event_id,
+       CAST(CAST('0x' || substr(md5('round:' || event_id), 1, 8) AS BIGINT) % 7 AS INTEGER) AS round
+FROM events
+""",
+    "stored_model": f"""
+WITH cells AS (
+  SELECT vec_id, unnest(range({DIM})) AS pos, unnest(embedding) AS x FROM embeddings),
+means AS (
+  SELECT pos, max(vec_id) AS step, CAST(avg(CAST(x AS DOUBLE)) AS FLOAT) AS value
+  FROM cells GROUP BY pos),
+blocks AS (
+  SELECT * FROM (VALUES (0, 12, 0, 'input_weight'), (12, 48, 0, 'recurrent_weight'),
+                        (48, 60, 0, 'bias'), (60, 63, 1, 'weight'), (63, 64, 1, 'bias'))
+           AS b (low, high, layer, name))
+SELECT 1 AS epoch, layer, name, CAST(pos - low AS BIGINT) AS param_idx, step,
+       round(CAST(value AS DOUBLE), 6) AS value
+FROM means JOIN blocks ON pos >= low AND pos < high
+""",
+    "stored_stats": f"""
+WITH {ITERATIONS},
+spans AS (
+  SELECT CAST(day AS INTEGER) AS epoch, epoch_us(date_trunc('day', min(ts))) // 1000 AS low,
+         epoch_us(max(ts)) // 1000 AS high, count(*) AS dims, max(loss) AS mse, min(loss) AS mae,
+         arg_max(loss, iteration) AS loss, arg_max(gradient_norm, iteration) AS norm
+  FROM log GROUP BY day),
+run AS (
+  SELECT min(low) AS low, max(high) AS high, count(*) AS epochs, sum(dims) AS n,
+         CAST(sum(high - low) AS BIGINT) // count(*) AS mean
+  FROM spans),
+last AS (SELECT epoch_us(max(ts)) AS last_us FROM log),
+figures AS (
+  {' UNION ALL '.join(
+    f"SELECT '{report}' AS report, {epoch} AS epoch, '{item}' AS item, CAST({value} AS DOUBLE) AS value FROM {source}"
+    for report, epoch, item, value, source in (
+        ('epochs', 'epoch', 'duration_ms', 'high - low', 'spans'),
+        ('epochs', 'epoch', 'dims', 'dims', 'spans'),
+        ('epochs', 'epoch', 'mse', 'mse', 'spans'),
+        ('epochs', 'epoch', 'mae', 'mae', 'spans'),
+        ('final_metrics', 'epoch', 'loss', 'loss', 'spans'),
+        ('final_metrics', 'epoch', 'learning_rate', 'loss / 4', 'spans'),
+        ('final_metrics', 'epoch', 'gradient_norm', 'norm', 'spans'),
+        ('throughput', '0', 'iterations', 'n', 'run'),
+        ('throughput', '0', 'iterations_per_second', 'n / ((last_us - low * 1000) / 1e6)', 'run, last'),
+        ('summary', '0', 'start_ts', 'low', 'run'),
+        ('summary', '0', 'end_ts', 'high', 'run'),
+        ('summary', '0', 'total_minutes', '(high - low) // 60000', 'run'),
+        ('summary', '0', 'epochs', 'epochs', 'run'),
+        ('summary', '0', 'average_epoch_ms', 'mean', 'run'),
+        ('summary', '0', 'batch_size', '32', 'run'),
+        ('summary', '0', 'hidden_size', '9', 'run')))})
+SELECT report, epoch, item, round(value, 6) AS value FROM figures
 """,
 }

@@ -5,19 +5,22 @@ import shutil
 import tempfile
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.config import Settings
+from seqloom.functions import lstm
 from seqloom.functions import text as txt
 from seqloom.functions import vectors as vec
 from seqloom.operators import checks, evaluate, examples, lookup, metrics
 from seqloom.operators.index import sequence_index
 from seqloom.operators.predict import predict
 from seqloom.operators.split import split_label
-from seqloom.operators.train import ModelState
+from seqloom.operators.train import average, round_of
 from seqloom.operators.windows import sliding_window, sliding_window_by_key, window_rows
 from seqloom.plans.run import prepare_and_train
+from seqloom.plans.train import RunTables, parameter_table
 from seqloom.sources import embeddings as emb_source
 from seqloom.sources import examples as stored
 from seqloom.sources import tokens as token_source
@@ -25,6 +28,7 @@ from seqloom.storage import new_folder
 
 WINDOW = 4
 WIDE_WINDOW = 40
+MESSY_WINDOW = 20
 DIM = 64
 VOCABULARY = 600
 PROPS_NUMBER = r"([0-9]+)"
@@ -108,25 +112,23 @@ def sliding_window_documents(spark, sf_dir):
     return rows.select(*window_columns([F.col("idx").alias("example_id")]))
 
 
-def sliding_window_per_user(spark, sf_dir):
+def _per_user(spark, sf_dir, **options):
     rows = table(spark, sf_dir, "events").select(
         "user_id",
         "event_id",
         F.regexp_extract("props", PROPS_NUMBER, 1).cast("int").alias("token_id"),
     )
-    windows = sliding_window_by_key(rows, WINDOW, "user_id", ["event_id"])
+    windows = sliding_window_by_key(rows, WINDOW, "user_id", ["event_id"], **options)
     return windows.select(*window_columns([F.col("user_id"), F.col("event_id")]))
 
 
+def sliding_window_per_user(spark, sf_dir):
+    return _per_user(spark, sf_dir)
+
+
 def sliding_window_per_user_hot(spark, sf_dir):
     """The same with every sequence treated as oversized."""
-    rows = table(spark, sf_dir, "events").select(
-        "user_id",
-        "event_id",
-        F.regexp_extract("props", PROPS_NUMBER, 1).cast("int").alias("token_id"),
-    )
-    windows = sliding_window_by_key(rows, WINDOW, "user_id", ["event_id"], hot_rows=0)
-    return windows.select(*window_columns([F.col("user_id"), F.col("event_id")]))
+    return _per_user(spark, sf_dir, hot_rows=0)
 
 
 def sliding_window_conversation(spark, sf_dir):
@@ -147,7 +149,9 @@ def id_list_text() -> Column:
     user, event = F.col("user_id").cast("string"), F.col("event_id").cast("string")
     kind = F.col("event_type")
     return (
-        F.when(kind == "error", F.concat(F.lit("["), user, F.lit(", x, "), event, F.lit("]")))
+        F.when(F.col("event_id") % 50 == 0, F.lit(" [ , ] "))
+        .when(F.col("event_id") % 50 == 1, F.lit(None))
+        .when(kind == "error", F.concat(F.lit("["), user, F.lit(", x, "), event, F.lit("]")))
         .when(kind == "view", F.concat(F.lit(" ["), user, F.lit(",,"), number, F.lit("] ")))
         .when(kind == "click", F.concat(user, F.lit(" "), event, F.lit(" -"), number))
         .when(kind == "purchase", F.concat(F.lit("[["), user, F.lit("]]")))
@@ -200,6 +204,18 @@ def scan_embeddings_csv(spark, sf_dir):
     return found.select("token_id", *spread("v", "vec"))
 
 
+def scan_embeddings_csv_bad_ids(spark, sf_dir):
+    """Every fifth id is no number: such a row is dropped."""
+    rows = embedding(spark, sf_dir)
+    key = F.col("token_id").cast("string")
+    bad = F.when(F.col("token_id") % 5 == 0, F.concat(F.lit("x"), key)).otherwise(key)
+    cells = [F.col("vec")[k].cast("double").alias(f"embedding{k + 1}") for k in range(DIM)]
+    path = new_folder(spark, "embeddings_csv")
+    rows.select(bad.alias("tokenId"), *cells).write.csv(path, header=True)
+    found = emb_source.scan_embeddings_csv(spark, path, DIM)
+    return found.select("token_id", *spread("v", "vec"))
+
+
 def pack_vector(spark, sf_dir):
     parts = table(spark, sf_dir, "part")
     packed = parts.select("p_partkey", vec.pack_vector("p_size", "p_retailprice").alias("vec"))
@@ -219,7 +235,9 @@ def examples_text(spark, sf_dir):
     stored.write_examples_text(training_set(spark, sf_dir), path)
     schema = "example_id bigint, x array<array<float>>, y array<float>"
     lines = spark.read.text(path).select(F.from_json("value", schema).alias("e")).select("e.*")
-    return lines.select("example_id", *spread("y", "y"))
+    return by_step(lines, "y").select(
+        "example_id", "step", *spread("x", "row"), *spread("y", "y")
+    )
 
 
 # --- lookups and examples ----------------------------------------------------------------
@@ -252,6 +270,16 @@ def lookup_embedding_large(spark, sf_dir):
     return _looked_up(spark, sf_dir, limit=0)
 
 
+def lookup_embedding_hot(spark, sf_dir):
+    """A large table and a stream in which one token holds a third of the rows."""
+    rows = sparse_stream(spark, sf_dir)
+    token = F.when(F.col("idx") % 3 == 0, F.lit(7)).otherwise(F.col("token_id"))
+    rows = rows.withColumn("token_id", token)
+    found = lookup.lookup_embedding(rows, embedding(spark, sf_dir), DIM, limit=0)
+    key = F.col("idx").alias("event_id")
+    return found.select(key, "token_id", "hit", *spread("v", "vec"))
+
+
 def positional_encoding(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     code = vec.positional_encoding(F.col("turn"), 50)
@@ -293,6 +321,70 @@ def embed_windows_large(spark, sf_dir):
     return rows.select("example_id", "step", *spread("x", "row"))
 
 
+def messy_embedding(spark, sf_dir) -> DataFrame:
+    """Repeated ids (the last copy wins), vectors that are missing and vectors of another length."""
+    vector = (
+        F.when(F.col("token_id") % 7 == 0, F.lit(None))
+        .when(F.col("token_id") % 11 == 0, F.slice("vec", 1, 5))
+        .otherwise(F.col("vec"))
+    )
+    copies = F.when(F.col("token_id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
+        F.array(F.lit(1))
+    )
+    rows = embedding(spark, sf_dir).withColumn("copy", F.explode(copies))
+    return rows.withColumn("vec", F.when(F.col("copy") == 1, vector).otherwise(F.reverse("vec")))
+
+
+def _messy(spark, sf_dir, size, **options):
+    rows = examples.training_examples(
+        sparse_stream(spark, sf_dir),
+        messy_embedding(spark, sf_dir),
+        size,
+        DIM,
+        order_by=["copy"],
+        **options,
+    )
+    rows = by_step(rows, "y")
+    target = [F.size("y").alias("y_size"), F.col("y")[0].cast("double").alias("y_0")]
+    return rows.select("example_id", "step", *target, *spread("x", "row"))
+
+
+def input_matrix_messy(spark, sf_dir):
+    return _messy(spark, sf_dir, WINDOW)
+
+
+def input_matrix_messy_large(spark, sf_dir):
+    """The same with the table taken as too large to broadcast."""
+    return _messy(spark, sf_dir, WINDOW, limit=0)
+
+
+def input_matrix_messy_wide(spark, sf_dir):
+    """A window beyond the width up to which each place is probed."""
+    return _messy(spark, sf_dir, MESSY_WINDOW)
+
+
+def embed_windows_messy_large(spark, sf_dir):
+    windows = window_rows(sliding_window(sparse_stream(spark, sf_dir), WINDOW))
+    table = messy_embedding(spark, sf_dir)
+    rows = examples.embed_windows(windows, table, WINDOW, DIM, limit=0, order_by=["copy"])
+    rows = by_step(rows, "y")
+    target = [F.size("y").alias("y_size"), F.col("y")[0].cast("double").alias("y_0")]
+    return rows.select("example_id", "step", *target, *spread("x", "row"))
+
+
+def keep_complete_examples(spark, sf_dir):
+    """Examples whose target has another length are left out."""
+    rows = examples.training_examples(
+        sparse_stream(spark, sf_dir),
+        messy_embedding(spark, sf_dir),
+        WINDOW,
+        DIM,
+        order_by=["copy"],
+    )
+    kept = examples.keep_complete(rows, WINDOW, DIM)
+    return kept.select("example_id", *spread("y", "y"))
+
+
 def training_pairs(spark, sf_dir):
     """Examples through the stored form."""
     path = new_folder(spark, "examples")
@@ -390,14 +482,26 @@ def score_iterations(spark, sf_dir):
     return rows.select("run_id", "epoch", "iteration", "loss")
 
 
+def epoch_spans(log: DataFrame) -> DataFrame:
+    """An epoch starts with its day and ends with its last iteration."""
+    start = F.date_trunc("day", F.min("ts"))
+    return log.groupBy("run_id", "epoch").agg(start.alias("start_ts"), F.max("ts").alias("end_ts"))
+
+
+def in_millis(rows: DataFrame) -> DataFrame:
+    """Times as whole milliseconds."""
+    return rows.withColumns(
+        {name: F.unix_millis(name) for name in ("start_ts", "end_ts") if name in rows.columns}
+    )
+
+
 def throughput(spark, sf_dir):
-    return rounded(metrics.throughput(iteration_log(spark, sf_dir)), "iterations_per_second")
+    log = iteration_log(spark, sf_dir)
+    return rounded(metrics.throughput(log, epoch_spans(log)), "iterations_per_second")
 
 
 def epoch_durations(spark, sf_dir):
-    return metrics.epoch_durations(iteration_log(spark, sf_dir)).select(
-        "run_id", "epoch", "duration_ms"
-    )
+    return in_millis(metrics.epoch_durations(epoch_spans(iteration_log(spark, sf_dir))))
 
 
 def epoch_final_metrics(spark, sf_dir):
@@ -405,16 +509,18 @@ def epoch_final_metrics(spark, sf_dir):
 
 
 def average_epoch_time(spark, sf_dir):
-    return metrics.average_epoch_time(metrics.epoch_durations(iteration_log(spark, sf_dir)))
+    spans = epoch_spans(iteration_log(spark, sf_dir))
+    return metrics.average_epoch_time(metrics.epoch_durations(spans))
 
 
 def run_summary(spark, sf_dir):
-    durations = metrics.epoch_durations(iteration_log(spark, sf_dir))
+    durations = metrics.epoch_durations(epoch_spans(iteration_log(spark, sf_dir)))
     settings = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("run_id"), F.col("c_nationkey").alias("batch_size")
+        F.col("c_custkey").alias("run_id"),
+        F.col("c_nationkey").alias("batch_size"),
+        F.length("c_name").alias("hidden_size"),
     )
-    rows = metrics.run_summary(durations, settings)
-    return rows.select("run_id", "total_minutes", "epochs", "average_epoch_ms", "batch_size")
+    return in_millis(metrics.run_summary(durations, settings))
 
 
 def epoch_validation(spark, sf_dir):
@@ -424,7 +530,7 @@ def epoch_validation(spark, sf_dir):
     predicted = persistence_forecast(spark, sf_dir).join(day, "example_id")
     scores = evaluate.regression_eval(predicted, by=["run_id", "epoch"])
     averages = evaluate.macro_average(scores, by=["run_id", "epoch"])
-    rows = metrics.epoch_validation(averages, metrics.epoch_durations(log))
+    rows = metrics.epoch_validation(averages, metrics.epoch_durations(epoch_spans(log)))
     return rounded(rows.drop("run_id", "dims", "r2_dims"), "mse", "rmse", "mae", "r2")
 
 
@@ -470,26 +576,105 @@ def ship_package(spark: SparkSession) -> None:
     spark.sparkContext._seqloom_shipped = True
 
 
+def formula_parameters(dim: int, hidden: int) -> np.ndarray:
+    """Parameters that SQL can write, too."""
+    place = np.arange(lstm.size(dim, hidden))
+    return ((place * 37 % 101 - 50) / 500).astype(np.float32)
+
+
 def predict_untrained(spark, sf_dir):
-    """Scores of the model before its first step."""
+    """Scores of a model of one hidden unit whose parameters come from a formula."""
     ship_package(spark)
-    settings = Settings(embedding_dim=DIM, window_size=WINDOW)
-    model = ModelState.initial(settings)
-    predicted = predict(training_set(spark, sf_dir), model.params, DIM, settings.hidden_size)
-    return evaluate.macro_average(evaluate.regression_eval(predicted))
+    predicted = predict(training_set(spark, sf_dir), formula_parameters(DIM, 1), DIM, 1)
+    scores = evaluate.macro_average(evaluate.regression_eval(predicted))
+    return scores.withColumns({name: F.round(name, 4) for name in ("mse", "rmse", "mae", "r2")})
 
 
 def train_metrics(spark, sf_dir):
-    """Prepare and train on the whole stream; one row per epoch."""
+    """Prepare and train on the whole stream; the rows each epoch trained on, and what it scored."""
     ship_package(spark)
-    settings = Settings(
-        embedding_dim=DIM, window_size=WINDOW, epochs=2, averaging_frequency=None
-    )
+    settings = Settings(embedding_dim=DIM, window_size=WINDOW, epochs=2)
     root = new_folder(spark, "run")
     tables = prepare_and_train(
         stream(spark, sf_dir), embedding(spark, sf_dir), settings, root, "events"
     )
-    return tables.epochs(spark)
+    trained = tables.iterations(spark).groupBy("epoch").agg(F.sum("n").alias("rows_trained"))
+    scored = tables.epochs(spark).where("mse > 0 and duration_ms > 0").select("epoch", "dims")
+    return trained.join(scored, "epoch")
+
+
+def worker_outputs(spark, sf_dir) -> DataFrame:
+    """Every vector as the parameters that a worker returns, a label as its number of rows."""
+    return table(spark, sf_dir, "embeddings").select(
+        (F.col("label") + 1).cast("bigint").alias("n"),
+        F.col("vec_id").alias("iteration"),
+        F.col("embedding").alias("params"),
+        F.transform("embedding", lambda x: x * x).alias("m"),
+        F.transform("embedding", F.abs).alias("v"),
+    )
+
+
+def average_parameters(spark, sf_dir):
+    """Plain and weighted means of the workers."""
+    outputs = worker_outputs(spark, sf_dir)
+    plain = average(outputs).select("pos", *(F.col(c).cast("double") for c in ("params", "m", "v")), "step")
+    heavy = average(outputs, weighted=True)
+    weighted = heavy.select("pos", *(F.col(c).cast("double").alias(f"weighted_{c}") for c in ("params", "m", "v")))
+    names = [f"{w}{c}" for w in ("", "weighted_") for c in ("params", "m", "v")]
+    return rounded(plain.join(weighted, "pos"), *names)
+
+
+def round_plan(spark, sf_dir):
+    """The averaging round of every example."""
+    events = table(spark, sf_dir, "events")
+    return events.select("event_id", round_of(F.col("event_id"), 7).alias("round"))
+
+
+def stored_model(spark, sf_dir):
+    """An average written as a parameter table and read back."""
+    settings = Settings(embedding_dim=1, hidden_size=3)
+    root = new_folder(spark, "model")
+    averaged = average(worker_outputs(spark, sf_dir))
+    parameter_table(averaged, settings).write.parquet(f"{root}/params/run_id=all/epoch=1")
+    rows = RunTables(root).params(spark)
+    return rows.select(
+        "epoch", "layer", "name", "param_idx", "step", F.round(F.col("value").cast("double"), 6).alias("value")
+    )
+
+
+def stored_stats(spark, sf_dir):
+    """The reports of one run written and read back, one row per figure."""
+    root = new_folder(spark, "stats")
+    log = iteration_log(spark, sf_dir).withColumn("run_id", F.lit("all"))
+    log = log.withColumn("learning_rate", F.col("loss") / 4).withColumn("round", F.lit(0))
+    log.write.partitionBy("run_id", "epoch", "round").parquet(f"{root}/workers")
+    epoch_spans(log).write.partitionBy("run_id", "epoch").parquet(f"{root}/epochs")
+    scores = log.groupBy("run_id", "epoch").agg(
+        F.count("*").alias("dims"), F.max("loss").alias("mse"), F.min("loss").alias("mae")
+    )
+    scores.write.partitionBy("run_id", "epoch").parquet(f"{root}/scores")
+    knobs = log.select("run_id", F.lit(32).alias("batch_size"), F.lit(9).alias("hidden_size"))
+    knobs.limit(1).write.partitionBy("run_id").parquet(f"{root}/settings")
+    tables = RunTables(root)
+    tables.write_stats(spark, "all")
+    found = []
+    for report, names in STATS.items():
+        rows = in_millis(spark.read.parquet(f"{root}/stats/{report}"))
+        epoch = F.col("epoch").cast("int") if "epoch" in rows.columns else F.lit(0)
+        figures = [F.col(name).cast("double").alias(name) for name in names]
+        rows = rows.select(F.lit(report).alias("report"), epoch.alias("epoch"), *figures)
+        found.append(rows.unpivot(["report", "epoch"], names, "item", "value"))
+    rows = found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+    return rounded(rows, "value")
+
+
+#: The figures of each report.
+STATS = {
+    "epochs": ["duration_ms", "dims", "mse", "mae"],
+    "final_metrics": ["loss", "learning_rate", "gradient_norm"],
+    "throughput": ["iterations", "iterations_per_second"],
+    "summary": ["start_ts", "end_ts", "total_minutes", "epochs", "average_epoch_ms", "batch_size", "hidden_size"],
+}
 
 
 QUERIES: dict[str, Query] = {
@@ -507,17 +692,24 @@ QUERIES: dict[str, Query] = {
         scan_token_lists_csv,
         scan_token_lists_text,
         scan_embeddings_csv,
+        scan_embeddings_csv_bad_ids,
         pack_vector,
         stored_windows,
         examples_text,
         dedupe_by_key_last,
         lookup_embedding,
         lookup_embedding_large,
+        lookup_embedding_hot,
         positional_encoding,
         input_matrix,
         input_matrix_large,
         embed_windows,
         embed_windows_large,
+        input_matrix_messy,
+        input_matrix_messy_large,
+        input_matrix_messy_wide,
+        embed_windows_messy_large,
+        keep_complete_examples,
         training_pairs,
         target_vector,
         tile_target,
@@ -540,5 +732,9 @@ QUERIES: dict[str, Query] = {
         layer_info,
         predict_untrained,
         train_metrics,
+        average_parameters,
+        round_plan,
+        stored_model,
+        stored_stats,
     )
 }

@@ -3,6 +3,10 @@
 from dataclasses import dataclass
 
 
+# Run metrics order rows by one number that leaves so many places for workers.
+MOST_WORKERS = 1 << 20
+
+
 @dataclass(frozen=True)
 class Settings:
     """Sizes and training knobs of one run.
@@ -19,7 +23,7 @@ class Settings:
     batch_size: int = 32
     epochs: int = 5
     train_percent: int = 80
-    averaging_frequency: int | None = 5
+    averaging_frequency: int | None = None
     workers: int | None = None
     weighted_average: bool = False
     learning_rate: float = 1e-3
@@ -34,5 +38,5 @@ class Settings:
             raise ValueError("train_percent must lie between 1 and 99")
         if self.averaging_frequency is not None and self.averaging_frequency < 1:
             raise ValueError("averaging_frequency must be at least 1 or None")
-        if self.workers is not None and self.workers < 1:
-            raise ValueError("workers must be at least 1 or None")
+        if self.workers is not None and not 1 <= self.workers < MOST_WORKERS:
+            raise ValueError(f"workers must be at least 1 and below {MOST_WORKERS}, or None")

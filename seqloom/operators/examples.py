@@ -8,6 +8,7 @@ from seqloom.operators.lookup import (
     BROADCAST_BYTES,
     fits_broadcast,
     lookup_embedding,
+    one_vector_per_id,
 )
 from seqloom.operators.windows import BLOCK_ROWS, sliding_window, window_rows
 
@@ -41,13 +42,18 @@ def embed_windows(
     size: int,
     dim: int,
     limit: int = BROADCAST_BYTES,
+    order_by: list[str] | None = None,
 ) -> DataFrame:
     """``(example_id, x, y)`` from stored windows.
 
+    The table is made one row per id first (see :func:`one_vector_per_id`), so
+    every plan below gives the same examples.
+
     Vector plus encoding depends only on (token, place), so it is computed once
     per embedding row and place instead of once per example: with a broadcast
     table every window place is one map-side probe and the windows never move.
     """
+    embeddings = one_vector_per_id(embeddings, dim, order_by)
     if size <= MAX_JOINS and fits_broadcast(embeddings, dim, size + 1, limit):
         return _probe_windows(windows, embeddings, size, dim)
     slots = windows.select(
@@ -86,6 +92,16 @@ def _probe_windows(windows: DataFrame, embeddings: DataFrame, size: int, dim: in
     )
 
 
+def _probe_in_blocks(embeddings: DataFrame, dim: int):
+    table = embeddings.select(F.col("token_id").alias("_token"), "vec")
+
+    def attach(rows: DataFrame) -> DataFrame:
+        found = rows.join(F.broadcast(table), F.col("token_id") == F.col("_token"), "left")
+        return found.withColumn("vec", F.coalesce("vec", zeros(dim))).drop("_token")
+
+    return attach
+
+
 def training_examples(
     tokens: DataFrame,
     embeddings: DataFrame,
@@ -94,25 +110,35 @@ def training_examples(
     idx: str = "idx",
     limit: int = BROADCAST_BYTES,
     block_rows: int = BLOCK_ROWS,
+    order_by: list[str] | None = None,
 ) -> DataFrame:
     """``(example_id, x, y)`` from a numbered token stream.
 
-    With a broadcast table only ids are shuffled to build windows. Otherwise
-    each token's vector is looked up once and windows are built over vectors.
+    The table is made one row per id first (see :func:`one_vector_per_id`), so
+    every plan below gives the same examples. With a broadcast table only ids
+    are shuffled: narrow windows probe it for each place, wide ones once per row
+    that has reached its block. Otherwise each token's vector is looked up once
+    and windows are built over vectors.
     """
+    embeddings = one_vector_per_id(embeddings, dim, order_by)
+    rows = tokens.select(idx, "token_id")
     if size <= MAX_JOINS and fits_broadcast(embeddings, dim, size + 1, limit):
-        rows = tokens.select(idx, "token_id")
         windows = window_rows(sliding_window(rows, size, idx, block_rows=block_rows), idx)
         return _probe_windows(windows, embeddings, size, dim)
-    found = lookup_embedding(tokens.select(idx, "token_id"), embeddings, dim, limit=limit)
+    attach = None
+    if fits_broadcast(embeddings, dim, limit=limit):
+        attach = _probe_in_blocks(embeddings, dim)
+    else:
+        rows = lookup_embedding(rows, embeddings, dim, limit=limit).select(idx, "vec")
     rows = sliding_window(
-        found.select(idx, "vec"),
+        rows,
         size,
         idx,
         value="vec",
         inputs="_vectors",
         target="y",
         block_rows=block_rows,
+        attach=attach,
     )
     matrix = input_matrix(F.col("_vectors"), size, dim)
     return rows.select(F.col(idx).alias("example_id"), matrix.alias("x"), "y")

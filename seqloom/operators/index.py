@@ -4,15 +4,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from seqloom.operators.lookup import BROADCAST_BYTES
 from seqloom.storage import stage
 
 # monotonically_increasing_id() keeps the partition above this bit and the row number below it.
 PARTITION_BIT = 33
 ROW_MASK = (1 << PARTITION_BIT) - 1
 
-# A block summary up to this many rows is summed and broadcast as one small table.
+# A block summary up to this many rows is summed in one task.
 SMALL_BLOCKS = 200_000
 
+# A row of the summary that rows are joined with: four whole numbers and what holds them.
+SUMMARY_ROW_BYTES = 64
+
 
 def running_start(blocks: DataFrame, order_by: list[str], size: str, start: str) -> DataFrame:
     """Sum of ``size`` over all earlier rows of a *block summary* (never of the stream itself).
@@ -86,8 +90,9 @@ def index_scanned(df: DataFrame, split_by: list[str], idx: str = "idx") -> DataF
     Rows of one input split are scanned by one task in file order, so a row's
     place in its split is known while the scan is written. Splits are ordered
     by ``split_by`` (path, offset), which is dropped, and only their summary is
-    summed. Rows find their split by scan task and row number; beyond
-    ``SMALL_BLOCKS`` splits that join shuffles, in groups of one task's rows.
+    summed. Rows find their split by scan task and row number, in a summary that
+    is broadcast; only a summary above BROADCAST_BYTES (some millions of splits)
+    is joined by a shuffle, in groups of one task's rows.
     """
     rows = stage(df.withColumn("_mid", F.monotonically_increasing_id()), "scanned")
     splits = stage(
@@ -97,7 +102,7 @@ def index_scanned(df: DataFrame, split_by: list[str], idx: str = "idx") -> DataF
     starts = running_start(splits, split_by, "_size", "_start").select(
         F.shiftright("_first", PARTITION_BIT).alias("_task"), "_first", "_size", "_start"
     )
-    if splits.count() <= SMALL_BLOCKS:
+    if splits.count() * SUMMARY_ROW_BYTES <= BROADCAST_BYTES:
         starts = F.broadcast(starts)
     here = (
         (F.shiftright("_mid", PARTITION_BIT) == F.col("_task"))

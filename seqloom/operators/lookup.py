@@ -24,6 +24,24 @@ def dedupe_last(embeddings: DataFrame, order_by: list[str]) -> DataFrame:
     return embeddings.groupBy("token_id").agg(F.max_by("vec", order).alias("vec"))
 
 
+def one_vector_per_id(
+    embeddings: DataFrame, dim: int, order_by: list[str] | None = None
+) -> DataFrame:
+    """The table that every plan sees: one row per id, zeros for a missing vector, no NULL id.
+
+    With ``order_by`` the last row of an id wins. Without an order no row of a repeated id can be
+    preferred, so one raises.
+    """
+    known = embeddings.filter("token_id is not null")
+    if order_by:
+        known = dedupe_last(known, order_by)
+    else:
+        repeated = known.agg(F.count("*") - F.count_distinct("token_id")).first()[0]
+        if repeated:
+            raise ValueError(f"{repeated} repeated embedding ids and no order to choose by")
+    return known.select("token_id", F.coalesce("vec", zeros(dim)).alias("vec"))
+
+
 def fits_broadcast(
     table: DataFrame, dim: int, copies: int = 1, limit: int = BROADCAST_BYTES
 ) -> bool:
@@ -57,22 +75,20 @@ def lookup_embedding(
     """Adds ``vec`` (zeros for an unknown token) and ``hit`` to every stream row.
 
     ``embeddings`` holds one row per ``token_id``. A small table is broadcast.
-    With a large one the stream is shuffled to it, all but the hot tokens: these
-    are counted first and only their vectors, a number of rows bounded by the
-    shuffle partitions, are broadcast to them.
+    With a large one both sides are shuffled. Hot tokens are counted first: their
+    rows are dealt to salts by a hash of the row, which a retry repeats, and their
+    vectors are copied to each salt. There are fewer copies than HOT_SHARE times
+    the partitions, and one for each hot token. No vector of a large table is broadcast.
     """
     table = embeddings.select(F.col("token_id").alias("_token"), "vec")
     if fits_broadcast(table, dim, limit=limit):
         found = _probe(tokens, F.broadcast(table), token)
     else:
-        hot = _hot_vectors(tokens, table, token)
+        hot = _hot_tokens(tokens, token)
         if hot.isEmpty():
             found = _probe(tokens, table.hint("merge"), token)
         else:
-            same = F.col(token).eqNullSafe(F.col("_hot"))
-            rest = tokens.join(F.broadcast(hot.select("_hot")), same, "left_anti")
-            hot_rows = tokens.join(F.broadcast(hot), same).drop("_hot")
-            found = hot_rows.unionByName(_probe(rest, table.hint("merge"), token))
+            found = _probe_salted(tokens, table, token, hot)
     return found.withColumn("vec", F.coalesce("vec", zeros(dim)))
 
 
@@ -81,12 +97,27 @@ def _probe(tokens: DataFrame, table: DataFrame, token: str) -> DataFrame:
     return found.withColumn("hit", F.col("_token").isNotNull()).drop("_token")
 
 
-def _hot_vectors(tokens: DataFrame, table: DataFrame, token: str) -> DataFrame:
+def _probe_salted(
+    tokens: DataFrame, table: DataFrame, token: str, hot: DataFrame
+) -> DataFrame:
+    salts = F.coalesce("_salts", F.lit(1))
+    place = F.pmod(F.xxhash64(*tokens.columns), salts).cast("int")
+    rows = tokens.join(F.broadcast(hot), F.col(token).eqNullSafe(F.col("_hot")), "left")
+    rows = rows.withColumn("_salt", place).drop("_hot", "_salts")
+    copies = F.explode(F.sequence(F.lit(0), salts - 1)).alias("_copy")
+    copied = table.join(F.broadcast(hot), F.col("_token") == F.col("_hot"), "left")
+    copied = copied.select("_token", "vec", copies).hint("merge")
+    same = (F.col(token) == F.col("_token")) & (F.col("_salt") == F.col("_copy"))
+    found = rows.join(copied, same, "left")
+    return found.withColumn("hit", F.col("_token").isNotNull()).drop("_token", "_salt", "_copy")
+
+
+def _hot_tokens(tokens: DataFrame, token: str) -> DataFrame:
+    """Hot tokens and how many quarters of an even partition each one fills."""
     parts = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = tokens.groupBy(F.col(token).alias("_hot")).agg(F.count("*").alias("_rows"))
     counts = stage(counts, "counts")
     total = counts.agg(F.sum("_rows")).first()[0] or 0
-    hot = counts.filter(F.col("_rows") * (HOT_SHARE * parts) > total).select("_hot")
-    known = table.join(F.broadcast(hot), F.col("_token") == F.col("_hot")).drop("_hot")
-    found = hot.join(known, F.col("_hot") == F.col("_token"), "left")
-    return stage(found.select("_hot", "vec", F.col("_token").isNotNull().alias("hit")), "hot")
+    shares = F.col("_rows") * (HOT_SHARE * parts)
+    salts = F.ceil(shares / max(total, 1)).cast("int").alias("_salts")
+    return stage(counts.filter(shares > total).select("_hot", salts), "hot")

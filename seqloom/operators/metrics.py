@@ -2,19 +2,20 @@
 
 The iteration table has one row per mini-batch of each worker:
 ``run_id, epoch, round, worker, iteration, ts, n, loss, learning_rate,
-gradient_norm, parameter_norm, parameter_update, error``.
+gradient_norm, parameter_norm, parameter_update, error``. The epoch table has one
+row per epoch, ``run_id, epoch, start_ts, end_ts``: the time from before an epoch's
+training to after its last average, without the scoring between epochs.
 """
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from seqloom.config import MOST_WORKERS
 from seqloom.functions.vectors import l2_norm
 
 LAST_SEEN = ("loss", "learning_rate", "gradient_norm", "parameter_norm")
-RUN = ("run_id",)
-
-# Workers are numbered below 2^20.
-WORKER_BITS = 20
+WORKER_BITS = MOST_WORKERS.bit_length() - 1
 
 
 def vector_norms(table: DataFrame, vec: str, norm: str = "norm") -> DataFrame:
@@ -26,14 +27,12 @@ def parameter_norms(params: DataFrame) -> DataFrame:
 
     ``params`` has one row per (run, epoch, layer, name, param_idx).
     """
-    place = ["run_id", "layer", "name", "param_idx"]
-    before = params.select(
-        *place, (F.col("epoch") + 1).alias("epoch"), F.col("value").cast("double").alias("_before")
-    )
+    spec = W.partitionBy("run_id", "layer", "name", "param_idx").orderBy("epoch")
     value = F.col("value").cast("double")
+    next_epoch = F.lag("epoch").over(spec) + 1 == F.col("epoch")
     change = value - F.coalesce("_before", value)
     return (
-        params.join(before, [*place, "epoch"], "left")
+        params.withColumn("_before", F.when(next_epoch, F.lag(value).over(spec)))
         .groupBy("run_id", "epoch")
         .agg(
             F.sqrt(F.sum(value * value)).alias("parameter_norm"),
@@ -53,22 +52,23 @@ def _millis(ts: Column) -> Column:
     return F.unix_millis(ts)
 
 
-def throughput(iterations: DataFrame, by: tuple[str, ...] = RUN) -> DataFrame:
-    """Iterations and iterations per second; NULL when no time passed."""
-    seconds = (F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))) / F.lit(1e6)
-    n = F.count("*")
-    return iterations.groupBy(*by).agg(
-        n.alias("iterations"), F.try_divide(n, seconds).alias("iterations_per_second")
+def throughput(iterations: DataFrame, spans: DataFrame) -> DataFrame:
+    """Iterations of each run, and per second from its start to its last iteration; NULL when no time passed."""
+    counts = iterations.groupBy("run_id").agg(
+        F.count("*").alias("iterations"), F.max("ts").alias("_last")
+    )
+    starts = spans.groupBy("run_id").agg(F.min("start_ts").alias("_start"))
+    seconds = (F.unix_micros("_last") - F.unix_micros("_start")) / F.lit(1e6)
+    rate = F.try_divide(F.col("iterations"), seconds)
+    return counts.join(starts, "run_id", "left").select(
+        "run_id", "iterations", rate.alias("iterations_per_second")
     )
 
 
-def epoch_durations(iterations: DataFrame) -> DataFrame:
-    start, end = F.min("ts"), F.max("ts")
-    return iterations.groupBy("run_id", "epoch").agg(
-        start.alias("start_ts"),
-        end.alias("end_ts"),
-        (_millis(end) - _millis(start)).alias("duration_ms"),
-    )
+def epoch_durations(spans: DataFrame) -> DataFrame:
+    """The epoch table with whole milliseconds from start to end."""
+    duration = _millis(F.col("end_ts")) - _millis(F.col("start_ts"))
+    return spans.select("run_id", "epoch", "start_ts", "end_ts", duration.alias("duration_ms"))
 
 
 def layer_info(params: DataFrame, layers: DataFrame) -> DataFrame:

@@ -2,21 +2,32 @@
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from seqloom.functions import lstm
 
 
 def matrices(column: pa.Array, dim: int) -> np.ndarray:
-    """A list-of-lists Arrow column as ``[n, T, D]`` without a copy per row."""
+    """A list-of-lists Arrow column as ``[n, T, D]`` without a copy per row; raises on rows of another shape."""
+    steps = pc.max(pc.list_value_length(column)).as_py() or 0
+    _require_length(column, steps, "matrices of another height")
+    _require_length(column.flatten(), dim, "matrix rows of another length")
     values = column.flatten().flatten().to_numpy(zero_copy_only=False)
     return values.reshape(len(column), -1, dim)
 
 
 def vectors(column: pa.Array, dim: int) -> np.ndarray:
+    _require_length(column, dim, "vectors of another length")
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim)
 
 
+def _require_length(column: pa.Array, length: int, what: str) -> None:
+    same = pc.sum(pc.equal(pc.list_value_length(column), length)).as_py() or 0
+    if same != len(column):
+        raise ValueError(f"{len(column) - same} {what}")
+
+
 def as_matrices(values: np.ndarray) -> pa.Array:
     n, steps, dim = values.shape
     inner = pa.ListArray.from_arrays(

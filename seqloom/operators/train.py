@@ -7,10 +7,10 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.config import Settings
+from seqloom.config import MOST_WORKERS, Settings
 from seqloom.functions import lstm
 from seqloom.functions.text import hash_bucket
 from seqloom.operators.predict import matrices, vectors
@@ -112,11 +112,27 @@ def _record_batch(rows):
     return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
 
-def to_workers(examples: DataFrame, workers: int) -> DataFrame:
-    """``examples`` (a stored table) in ``workers`` partitions, without a shuffle if it has more."""
-    if examples.rdd.getNumPartitions() >= workers:
-        return examples.coalesce(workers)
-    return examples.repartition(workers, "example_id")
+class Workers(NamedTuple):
+    """How many tasks train side by side, and whether rows must be dealt to them."""
+
+    count: int
+    deal: bool
+
+    def of(self, examples: DataFrame) -> DataFrame:
+        """``examples`` in one partition per worker; without a shuffle unless there are too few."""
+        if self.deal:
+            return examples.repartition(self.count, "example_id")
+        return examples.coalesce(self.count)
+
+
+def plan_workers(examples: DataFrame, settings: Settings) -> Workers:
+    """By default one worker for every scan partition of the stored table that holds rows.
+
+    So the number follows the table and not the executors that happen to be there when it starts.
+    """
+    found = examples.select(F.spark_partition_id().alias("part")).distinct().count()
+    count = settings.workers or min(max(found, 1), MOST_WORKERS - 1)
+    return Workers(count, found < count)
 
 
 def average(outputs: DataFrame, weighted: bool = False) -> DataFrame:
@@ -135,19 +151,26 @@ def average(outputs: DataFrame, weighted: bool = False) -> DataFrame:
     )
 
 
-def _collect_state(averaged: DataFrame) -> ModelState:
+def _collect_state(averaged: DataFrame) -> ModelState | None:
+    """The averaged model, or None if no worker had a row."""
     table = averaged.toArrow().sort_by("pos")
     if table.num_rows == 0:
-        raise ValueError("no examples to train on")
+        return None
     flat = [table.column(c).to_numpy().astype(np.float32) for c in ("params", "m", "v")]
     return ModelState(*flat, table.column("step")[0].as_py())
 
 
 class Rounds(NamedTuple):
-    """Training rows stored by averaging round, and the rounds that hold rows."""
+    """Training rows stored by averaging round, and the number of rounds."""
 
     rows: DataFrame
-    numbers: list[int]
+    count: int
+
+
+def round_of(example_id: Column, rounds: int) -> Column:
+    """The averaging round of an example: a hash of its id."""
+    key = F.concat(F.lit("round:"), example_id.cast("string"))
+    return hash_bucket(key, rounds).cast("int")
 
 
 def plan_rounds(examples: DataFrame, settings: Settings, workers: int) -> Rounds | None:
@@ -163,12 +186,10 @@ def plan_rounds(examples: DataFrame, settings: Settings, workers: int) -> Rounds
     if rounds <= 1:
         return None
     key = F.col("example_id").cast("string")
-    rows = examples.withColumn("round", hash_bucket(F.concat(F.lit("round:"), key), rounds))
-    rows = rows.withColumn("round", F.col("round").cast("int"))
+    rows = examples.withColumn("round", round_of(F.col("example_id"), rounds))
     worker = hash_bucket(F.concat(F.lit("worker:"), key), workers)
     rows = rows.withColumn("_worker", worker).repartition("round", "_worker").drop("_worker")
-    rows = stage(rows, "rounds", partition_by=("round",))
-    return Rounds(rows, sorted(r["round"] for r in rows.select("round").distinct().collect()))
+    return Rounds(stage(rows, "rounds", partition_by=("round",)), rounds)
 
 
 def train_epoch(
@@ -177,20 +198,29 @@ def train_epoch(
     rounds: Rounds | None,
     state: ModelState,
     settings: Settings,
-    workers: int,
+    workers: Workers,
     path: str,
 ) -> tuple[ModelState, DataFrame]:
-    """One pass over the rows; worker rows go to ``path/round=r``. Returns the averaged model."""
-    for r in rounds.numbers if rounds else [0]:
+    """One pass over the rows; worker rows go to ``path/round=r``. Returns the averaged model.
+
+    Each average is written once, and the model is read from what was written. A round without rows
+    leaves the model as it is.
+    """
+    last = None
+    for r in range(rounds.count if rounds else 1):
         rows = rounds.rows.filter(F.col("round") == r) if rounds else examples
-        rows = to_workers(rows.select("example_id", "x", "y"), workers)
+        rows = workers.of(rows.select("example_id", "x", "y"))
         shared = spark.sparkContext.broadcast((state.params, state.m, state.v, state.step))
         target = f"{path}/round={r}"
         rows.mapInArrow(_local_steps(shared, settings), WORKER_ROWS).write.mode(
             "overwrite"
         ).parquet(target)
         outputs = spark.read.schema(WORKER_ROWS).parquet(target)
-        averaged = average(outputs, settings.weighted_average)
-        state = _collect_state(averaged)
+        averaged = stage(average(outputs, settings.weighted_average), "average")
+        found = _collect_state(averaged)
+        if found is not None:
+            state, last = found, averaged
         shared.unpersist()
-    return state, averaged
+    if last is None:
+        raise ValueError("no examples to train on")
+    return state, last

@@ -1,5 +1,7 @@
 """Look-back windows over ordered streams."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -27,6 +29,7 @@ def sliding_window(
     target: str = "target_token",
     within: list[str] | None = None,
     block_rows: int = BLOCK_ROWS,
+    attach: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per full window: the ``size`` values before a row, and the row's own value.
 
@@ -37,6 +40,9 @@ def sliding_window(
 
     ``within`` names columns the stream is sorted by; windows that cross a
     change of them are dropped. All other columns are kept.
+
+    ``attach`` adds the value column to rows that have reached their block, by
+    a join that does not move them, so that only narrow rows are shuffled.
     """
     if size < 1:
         raise ValueError("a window holds at least one row")
@@ -49,6 +55,8 @@ def sliding_window(
     # partitions by their shuffled bytes would leave too few tasks.
     parts = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = tokens.withColumn("_block", F.explode(halo)).repartition(parts, "_block")
+    if attach is not None:
+        rows = attach(rows)
     windows = _by_offsets if size <= MAX_OFFSETS else _by_slices
     keep = [c for c in tokens.columns if c not in (idx, value)]
     return windows(rows, size, idx, value, inputs, within or [], block_rows).select(

@@ -8,7 +8,7 @@ from seqloom.operators.examples import keep_complete, training_examples
 from seqloom.operators.split import train_valid_split
 from seqloom.operators.windows import sliding_window, window_rows
 from seqloom.sources.embeddings import scan_embeddings_csv
-from seqloom.sources.examples import write_examples, write_windows
+from seqloom.sources.examples import scan_examples, write_examples, write_windows
 from seqloom.sources.tokens import scan_token_lists
 from seqloom.storage import stage
 
@@ -33,7 +33,9 @@ def prepare_examples(
 ) -> dict:
     """Write ``(example_id, x, y)`` in one folder per split and return the input counts.
 
-    ``strict`` rejects vectors of another length instead of using zero rows.
+    A repeated embedding id raises. A vector of another length gives a zero row
+    in an input matrix; as a target it cannot be learned, so such examples are
+    left out and counted as ``dropped``. ``strict`` rejects such vectors instead.
     """
     dim = settings.embedding_dim
     check = check_embeddings(embeddings, dim)
@@ -41,11 +43,14 @@ def prepare_examples(
         "embeddings": require_vectors(check) if strict else require_rows(check, "embeddings"),
         "tokens": require_rows(check_tokens(tokens).select("n_rows"), "tokens"),
     }
-    examples = training_examples(tokens, embeddings, settings.window_size, dim)
+    size = settings.window_size
+    examples = training_examples(tokens, embeddings, size, dim)
     examples = train_valid_split(
-        keep_complete(examples, settings.window_size),
+        keep_complete(examples, size, dim),
         train_percent=settings.train_percent,
         salt=settings.split_salt,
     )
     write_examples(examples, path)
+    kept = scan_examples(tokens.sparkSession, path).count()
+    counts["examples"] = {"kept": kept, "dropped": max(0, counts["tokens"]["n_rows"] - size) - kept}
     return counts

@@ -1,5 +1,6 @@
 """Train and score a next-vector model on stored examples; everything it learns is a table."""
 
+import datetime
 import math
 import re
 from dataclasses import dataclass
@@ -14,7 +15,7 @@ from seqloom.operators import metrics
 from seqloom.operators.evaluate import macro_average, regression_eval
 from seqloom.operators.predict import predict
 from seqloom.operators.split import train_valid_split
-from seqloom.operators.train import ModelState, plan_rounds, train_epoch
+from seqloom.operators.train import ModelState, plan_rounds, plan_workers, train_epoch
 
 ITERATIONS = (
     "worker int, iteration bigint, ts timestamp, n bigint, loss double, learning_rate double, "
@@ -29,6 +30,7 @@ SCORES = (
     "dims bigint, r2_dims bigint, mse double, rmse double, mae double, r2 double, "
     "run_id string, epoch int"
 )
+EPOCHS = "start_ts timestamp, end_ts timestamp, run_id string, epoch int"
 SETTINGS = "batch_size int, hidden_size int, run_id string"
 
 
@@ -48,27 +50,27 @@ class RunTables:
     def scores(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(SCORES).parquet(f"{self.root}/scores")
 
+    def epoch_spans(self, spark: SparkSession) -> DataFrame:
+        """When each epoch's training began and ended."""
+        return spark.read.schema(EPOCHS).parquet(f"{self.root}/epochs")
+
     def settings(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(SETTINGS).parquet(f"{self.root}/settings")
 
     def epochs(self, spark: SparkSession) -> DataFrame:
         """Duration and validation scores per epoch."""
-        durations = metrics.epoch_durations(self.iterations(spark))
+        durations = metrics.epoch_durations(self.epoch_spans(spark))
         return metrics.epoch_validation(self.scores(spark), durations)
 
     def summary(self, spark: SparkSession) -> DataFrame:
-        durations = metrics.epoch_durations(self.iterations(spark))
+        durations = metrics.epoch_durations(self.epoch_spans(spark))
         return metrics.run_summary(durations, self.settings(spark))
 
     def write_stats(self, spark: SparkSession, run_id: str) -> None:
         """Store a run's report: epochs, last-seen metrics, throughput and summary."""
-        durations = metrics.epoch_durations(self.iterations(spark))
-        reports = {
-            "epochs": self.epochs(spark),
-            "final_metrics": metrics.epoch_final_metrics(self.iterations(spark)),
-            "throughput": metrics.throughput(self.iterations(spark)),
-            "summary": metrics.run_summary(durations, self.settings(spark)),
-        }
+        reports = run_reports(
+            self.iterations(spark), self.epoch_spans(spark), self.scores(spark), self.settings(spark)
+        )
         for name, report in reports.items():
             rows = report.filter(F.col("run_id") == run_id).drop("run_id")
             rows.coalesce(1).write.mode("overwrite").parquet(
@@ -76,6 +78,19 @@ class RunTables:
             )
 
 
+def run_reports(
+    iterations: DataFrame, spans: DataFrame, scores: DataFrame, settings: DataFrame
+) -> dict[str, DataFrame]:
+    """Epochs, last-seen metrics, throughput and summary; one row per run or epoch."""
+    durations = metrics.epoch_durations(spans)
+    return {
+        "epochs": metrics.epoch_validation(scores, durations),
+        "final_metrics": metrics.epoch_final_metrics(iterations),
+        "throughput": metrics.throughput(iterations, spans),
+        "summary": metrics.run_summary(durations, settings),
+    }
+
+
 def layer_table(spark: SparkSession, settings: Settings) -> DataFrame:
     dim, hidden = settings.embedding_dim, settings.hidden_size
     return spark.createDataFrame(
@@ -140,15 +155,14 @@ def train(
 
     The table's own ``split`` column decides what is trained on, if it has one.
 
-    After each epoch the averaged parameters and the validation scores are
-    written below ``root``; worker metrics are written by the workers, the
+    After each epoch the averaged parameters, the validation scores and the time
+    that training took, first read to last average, are written below ``root``; worker metrics are written by the workers, the
     run's report at the end.
     """
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", run_id):
         raise ValueError(f"run id {run_id!r} is no folder name")
     spark = examples.sparkSession
     tables = RunTables(root)
-    workers = settings.workers or spark.sparkContext.defaultParallelism
     parts = examples
     if "split" not in examples.columns:
         parts = train_valid_split(
@@ -156,16 +170,22 @@ def train(
         )
     training = parts.filter("split = 'train'").drop("split")
     validation = parts.filter("split = 'valid'").drop("split")
-    rounds = plan_rounds(training, settings, workers)
+    workers = plan_workers(training, settings)
+    rounds = plan_rounds(training, settings, workers.count)
     spark.createDataFrame(
         [(settings.batch_size, settings.hidden_size)], "batch_size int, hidden_size int"
     ).coalesce(1).write.mode("overwrite").parquet(f"{root}/settings/run_id={run_id}")
     state = ModelState.initial(settings)
     for epoch in range(1, settings.epochs + 1):
         here = f"run_id={run_id}/epoch={epoch}"
+        start = datetime.datetime.now(datetime.UTC)
         state, averaged = train_epoch(
             spark, training, rounds, state, settings, workers, f"{root}/workers/{here}"
         )
+        span = [(start, datetime.datetime.now(datetime.UTC))]
+        spark.createDataFrame(span, "start_ts timestamp, end_ts timestamp").coalesce(
+            1
+        ).write.mode("overwrite").parquet(f"{root}/epochs/{here}")
         parameter_table(averaged, settings).write.mode("overwrite").parquet(
             f"{root}/params/{here}"
         )

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 SCRATCH_KEY = "spark.checkpoint.dir"
 
 
-# Temporary folders of local applications that named none.
-_local_roots: dict[str, str] = {}
+# Temporary folders of local applications that named none; they go when Python ends.
+_local_roots: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -31,8 +31,8 @@ def scratch_root(spark: SparkSession) -> str:
         raise RuntimeError(f"set {SCRATCH_KEY} to a folder shared by all executors")
     app = context.applicationId
     if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="seqloom-")
-    return _local_roots[app]
+        _local_roots[app] = tempfile.TemporaryDirectory(prefix="seqloom-", ignore_cleanup_errors=True)
+    return _local_roots[app].name
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

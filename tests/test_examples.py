@@ -40,16 +40,41 @@ def collected(examples):
     return {r.example_id: (r.x, r.y) for r in examples.collect()}
 
 
-TABLE = {1: [0.1, 0.2, 0.3], 2: [0.4, 0.5, 0.6], 3: [0.7, 0.8, 0.9], 4: [0.11, 0.12, 0.13]}
+TABLE = {5: [0.25, -0.5, 1.5], 8: [2.0, 0.75, -1.25], 9: [-0.375, 3.5, 0.125]}
 
 
 def test_matrix_values(stream, vectors):
-    found = collected(training_examples(stream([1, 2, 3]), vectors(TABLE), 2, 3))
+    found = collected(training_examples(stream([8, 5, 9]), vectors(TABLE), 2, 3))
     x, y = found[2]
-    second = [0.4 + math.sin(1), 0.5 + math.cos(1), 0.6 + math.sin(1 / 10000 ** (2 / 3))]
-    assert x[0] == pytest.approx([0.1, 1.2, 0.3], abs=1e-6)
+    second = [0.25 + math.sin(1), -0.5 + math.cos(1), 1.5 + math.sin(1 / 10000 ** (2 / 3))]
+    assert x[0] == pytest.approx([2.0, 1.75, -1.25], abs=1e-6)
     assert x[1] == pytest.approx(second, abs=1e-6)
-    assert y == pytest.approx([0.7, 0.8, 0.9], abs=1e-6)
+    assert y == TABLE[9]
+
+
+@pytest.mark.parametrize("limit", [2**28, 0])
+@pytest.mark.parametrize("size", [2, 20])
+def test_messy_tables_give_one_result(spark, stream, limit, size):
+    rng = random.Random(size)
+    dim = 3
+    clean = {t: [rng.uniform(-1, 1) for _ in range(dim)] for t in range(8)}
+    rows = [(t, [9.0] * dim, 0) for t in range(0, 8, 2)] + [(t, v, 1) for t, v in clean.items()]
+    rows += [(20, [1.0] * dim, 0), (20, None, 1), (21, [1.0], 1), (None, [5.0] * dim, 1)]
+    emb = spark.createDataFrame(rows, "token_id int, vec array<float>, line int").repartition(3)
+    tokens = [rng.choice([*range(9), 20, 21]) for _ in range(120)]
+    wanted = brute(tokens, {**clean, 20: [0.0] * dim, 21: [1.0]}, size, dim)
+    options = {"limit": limit, "order_by": ["line"]}
+    found = collected(training_examples(stream(tokens), emb, size, dim, block_rows=64, **options))
+    windows = window_rows(sliding_window(stream(tokens), size))
+    stored = collected(embed_windows(windows, emb, size, dim, **options))
+    assert found.keys() == stored.keys() == wanted.keys()
+    for i, (x, y) in wanted.items():
+        np.testing.assert_allclose(found[i][0], x, atol=1e-6)
+        assert found[i] == stored[i] and found[i][1] == y
+    with pytest.raises(ValueError, match="repeated embedding ids"):
+        training_examples(stream(tokens), emb, size, dim, limit=limit)
+    with pytest.raises(ValueError, match="repeated embedding ids"):
+        embed_windows(windows, emb, size, dim, limit=limit)
 
 
 @pytest.mark.parametrize("limit", [2**28, 0])
@@ -77,16 +102,16 @@ def test_every_path_equals_brute_force(stream, vectors, limit, size):
 
 
 def test_lookup_keeps_every_row(stream, vectors):
-    tokens = [1, 99, 1, 2, 99, 1]
+    tokens = [5, 99, 5, 8, 99, 5]
     for limit in (2**28, 0):
         found = lookup_embedding(stream(tokens), vectors(TABLE), 3, limit=limit)
         rows = sorted(found.collect(), key=lambda r: r.idx)
         assert [r.token_id for r in rows] == tokens
         assert [r.hit for r in rows] == [t != 99 for t in tokens]
-        assert rows[1].vec == [0, 0, 0] and rows[0].vec == f32(TABLE[1])
+        assert rows[1].vec == [0, 0, 0] and rows[0].vec == TABLE[5]
 
 
-def test_large_table_is_shuffled_and_hot_tokens_are_not(spark, vectors):
+def test_large_table_is_shuffled_and_hot_tokens_are_salted(spark, vectors):
     emb = vectors({t: [float(t)] for t in range(400)})
     even = spark.range(4000).selectExpr("id as idx", "cast(id % 400 as int) as token_id")
     found = lookup_embedding(even, emb, 1, limit=0)
@@ -98,13 +123,13 @@ def test_large_table_is_shuffled_and_hot_tokens_are_not(spark, vectors):
         "case when idx % 3 = 0 then 7 when idx % 5 = 0 then 9999 when idx % 7 = 0 then null "
         "else token_id end as token_id",
     )
-    hot = lookup._hot_vectors(
-        skewed, emb.withColumnRenamed("token_id", "_token"), "token_id"
-    ).collect()
-    assert sorted((str(r._hot), r.hit) for r in hot) == [
-        ("7", True), ("9999", False), ("None", False)
-    ]
+    hot = {str(r._hot): r._salts for r in lookup._hot_tokens(skewed, "token_id").collect()}
+    # 4 partitions in quarters: a third of the rows fills six of sixteen
+    assert hot == {"7": 6, "9999": 3, "None": 2}
     large = lookup_embedding(skewed, emb, 1, limit=0)
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (0, 4000") == 1
+    assert plan.count("SortMergeJoin") == 1 and "Exchange hashpartitioning(token_id" in plan
     small = lookup_embedding(skewed, emb, 1)
     assert large.count() == 4000
     assert large.exceptAll(small.select(large.columns)).isEmpty()
@@ -113,8 +138,8 @@ def test_large_table_is_shuffled_and_hot_tokens_are_not(spark, vectors):
 def test_fits_broadcast_counts_rows_and_cells(vectors):
     table = vectors(TABLE)
     row = 64 + 2 * (32 + 4 * 3)
-    assert fits_broadcast(table, 3, 2, 4 * row)
-    assert not fits_broadcast(table, 3, 2, 4 * row - 1)
+    assert fits_broadcast(table, 3, 2, 3 * row)
+    assert not fits_broadcast(table, 3, 2, 3 * row - 1)
     assert not fits_broadcast(table, 3, 2, 0)
     longer = vectors({**TABLE, 4: [0.5] * 1000})
     assert not fits_broadcast(longer, 3, 2, 4 * row)
@@ -156,6 +181,15 @@ def test_checks(spark, stream, vectors):
     assert found == {"n_rows": 3, "null_lists": 1, "bad_lists": 1}
 
 
+def test_wide_windows_over_a_small_table_move_only_ids(spark, stream, vectors):
+    rows = training_examples(stream(range(50)), vectors(TABLE), 20, 3)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    (exchange,) = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    below = plan[plan.index(exchange) + len(exchange) :].splitlines()[1:4]
+    assert "BroadcastHashJoin" in plan[: plan.index(exchange)]
+    assert not any("vec" in line for line in below)
+
+
 def test_probe_plan_moves_only_ids(spark, stream, vectors):
     rows = training_examples(stream(range(50)), vectors(TABLE), 4, 3)
     plan = rows._jdf.queryExecution().executedPlan().toString()

@@ -23,16 +23,20 @@ def log(spark):
     ).repartition(3)
 
 
-def test_epoch_durations_and_average(log):
-    durations = {(r.run_id, r.epoch): r.duration_ms for r in
-                 metrics.epoch_durations(log).collect()}
-    assert durations[("b", 1)] == 0
-    assert durations[("a", 1)] == 110_016
-    assert durations[("a", 2)] == 110_016 or durations[("a", 2)] == 110_017
-    average = {r.run_id: (r.epochs, r.average_epoch_ms) for r in
-               metrics.average_epoch_time(metrics.epoch_durations(log)).collect()}
-    total = sum(ms for (run, _), ms in durations.items() if run == "a")
-    assert average["a"] == (3, total // 3)
+@pytest.fixture
+def spans(spark):
+    second = dt.timedelta(seconds=1)
+    rows = [("a", e, T0 + 120 * e * second, T0 + (120 * e + 70 + e) * second) for e in range(3)]
+    rows.append(("b", 1, T0, T0 + dt.timedelta(microseconds=900)))
+    return spark.createDataFrame(rows, "run_id string, epoch int, start_ts timestamp, end_ts timestamp")
+
+
+def test_epoch_durations_and_average(spans):
+    rows = metrics.epoch_durations(spans).collect()
+    durations = {(r.run_id, r.epoch): r.duration_ms for r in rows}
+    assert durations == {("a", 0): 70_000, ("a", 1): 71_000, ("a", 2): 72_000, ("b", 1): 0}
+    rows = metrics.average_epoch_time(metrics.epoch_durations(spans)).collect()
+    assert {r.run_id: (r.epochs, r.average_epoch_ms) for r in rows} == {"a": (3, 71_000), "b": (1, 0)}
 
 
 def test_final_metrics_are_the_last_seen(log):
@@ -42,10 +46,12 @@ def test_final_metrics_are_the_last_seen(log):
     assert found[("a", 3)] == (76.0, 12.0, 25.0)
 
 
-def test_throughput(log):
-    found = {r.run_id: r for r in metrics.throughput(log).collect()}
+def test_throughput_counts_from_the_start_of_the_run(log, spans):
+    early = spans.withColumn("start_ts", spans.start_ts - dt.timedelta(seconds=10)).filter("run_id = 'a'")
+    found = {r.run_id: r for r in metrics.throughput(log, early).collect()}
     assert found["a"].iterations == 25
-    assert found["a"].iterations_per_second == pytest.approx(25 / 240.036)
+    assert found["a"].iterations_per_second == pytest.approx(25 / 250.036)
+    found = {r.run_id: r for r in metrics.throughput(log, spans).collect()}
     assert found["b"].iterations_per_second is None
 
 
@@ -54,23 +60,23 @@ def test_every_tenth_loss(log):
     assert sorted(r.iteration for r in rows) == [0, 10, 20]
 
 
-def test_run_summary(spark, log):
+def test_run_summary(spark, spans):
     settings = spark.createDataFrame([("a", 32)], "run_id string, batch_size int")
-    rows = metrics.run_summary(metrics.epoch_durations(log), settings).collect()
+    rows = metrics.run_summary(metrics.epoch_durations(spans), settings).collect()
     found = {r.run_id: r for r in rows}
-    assert (found["a"].total_minutes, found["a"].epochs, found["a"].batch_size) == (4, 3, 32)
+    assert (found["a"].total_minutes, found["a"].epochs, found["a"].batch_size) == (5, 3, 32)
     assert found["b"].total_minutes == 0 and found["b"].batch_size is None
 
 
 def test_layer_info_counts_parameters(spark):
-    # two dense layers 50 -> 50: 50 * 50 weights and 50 biases each
-    cells = spark.range(2550).selectExpr("explode(array(0, 1, 7)) as layer", "id as param_idx")
+    # two dense layers 30 -> 20: 30 * 20 weights and 20 biases each
+    cells = spark.range(620).selectExpr("explode(array(0, 1, 7)) as layer", "id as param_idx")
     layers = spark.createDataFrame(
-        [(0, "dense", 50, 50, "sigmoid"), (1, "output", 50, 50, "identity")],
+        [(0, "dense", 30, 20, "sigmoid"), (1, "output", 30, 20, "identity")],
         "layer int, kind string, n_in int, n_out int, activation string",
     )
     found = {r.layer: r for r in metrics.layer_info(cells, layers).collect()}
-    assert found[0].parameters == 2550 and found[0].n_in == 50
+    assert found[0].parameters == 620 and (found[0].n_in, found[0].n_out) == (30, 20)
     assert (found[7].kind, found[7].n_in, found[7].activation) == ("Unknown", 0, "Unknown")
 
 

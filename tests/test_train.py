@@ -119,7 +119,8 @@ def test_one_worker_equals_local_training(spark, examples, tmp_path):
     for step, at in enumerate(range(0, len(x), 8), start=1):
         _, grad = lstm.loss_and_gradient(flat, x[at : at + 8], y[at : at + 8], HIDDEN)
         lstm.adam_step(flat, grad, m, v, step, settings.learning_rate)
-    found, _ = op.train_epoch(spark, one, None, state, settings, 1, str(tmp_path / "w"))
+    workers = op.Workers(1, False)
+    found, _ = op.train_epoch(spark, one, None, state, settings, workers, str(tmp_path / "w"))
     assert found.step == 50
     assert found.params == pytest.approx(flat, abs=1e-5)
 
@@ -127,7 +128,7 @@ def test_one_worker_equals_local_training(spark, examples, tmp_path):
 def test_rounds_cover_every_row_once(spark, examples):
     settings = small(averaging_frequency=2)
     rounds = op.plan_rounds(examples, settings, workers=3)
-    assert rounds.numbers == list(range(math.ceil(400 / (3 * 2 * 8))))
+    assert rounds.count == math.ceil(400 / (3 * 2 * 8))
     assert sorted(r.example_id for r in rounds.rows.collect()) == list(range(400))
     assert op.plan_rounds(examples, small(), workers=3) is None
     assert op.plan_rounds(examples, small(averaging_frequency=100), workers=3) is None
@@ -178,6 +179,51 @@ def test_training_learns_and_stores_its_run(spark, examples, tmp_path, frequency
     assert stats["throughput"][0].iterations == log.count()
 
 
+def test_workers_follow_the_stored_partitions(spark, examples, tmp_path):
+    assert op.plan_workers(examples.coalesce(2), small(workers=None)) == op.Workers(2, False)
+    assert op.plan_workers(examples.coalesce(2), small(workers=3)) == op.Workers(3, True)
+    path = str(tmp_path / "many")
+    examples.repartition(9).write.parquet(path)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 27))
+    try:
+        assert op.plan_workers(scan_examples(spark, path), small(workers=None)).count == 9
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+
+
+def test_a_round_without_rows_changes_nothing(spark, examples, tmp_path):
+    settings, few = small(averaging_frequency=1, workers=1), examples.filter("example_id < 9")
+    rounds = op.Rounds(few.withColumn("round", F.lit(1)), 3)
+    state = op.ModelState.initial(settings)
+    found, averaged = op.train_epoch(
+        spark, few, rounds, state, settings, op.Workers(1, False), str(tmp_path / "w")
+    )
+    assert found.step == 2 and averaged.count() == len(found.params)
+
+
+def test_an_epoch_of_one_batch_takes_time(spark, examples, tmp_path):
+    few = examples.filter("example_id < 6").withColumn("split", F.lit("train"))
+    few = few.unionByName(examples.filter("example_id > 390").withColumn("split", F.lit("valid")))
+    tables, _ = plan.train(few, small(workers=1, epochs=2), str(tmp_path / "run"), "r")
+    assert tables.iterations(spark).count() == 2
+    assert all(e.duration_ms > 0 for e in tables.epochs(spark).collect())
+    rate = spark.read.parquet(f"{tmp_path}/run/stats/throughput").first()
+    assert rate.iterations == 2 and rate.iterations_per_second > 0
+
+
+def test_targets_of_another_length_raise(spark, examples):
+    rows = [(0, [[1.0] * 3] * 4, [1.0, 2.0]), (1, [[1.0] * 3] * 4, [1.0] * 4)]
+    bad = spark.createDataFrame(rows, examples.schema)
+    settings = small(workers=1)
+    state = op.ModelState.initial(settings)
+    with pytest.raises(Exception, match="2 vectors of another length"):
+        op.train_epoch(spark, bad.coalesce(1), None, state, settings, op.Workers(1, False), "/tmp/unused-run")
+    short = spark.createDataFrame([(0, [[1.0] * 2] * 4, [1.0] * 3)], examples.schema)
+    with pytest.raises(Exception, match="matrix rows of another length"):
+        predict(short, state.params, DIM, HIDDEN).collect()
+
+
 def test_no_examples_is_an_error(spark, examples, tmp_path):
     with pytest.raises(ValueError, match="no examples"):
         plan.train(examples.filter("example_id < 0"), small(), str(tmp_path / "run"), "r")
@@ -208,7 +254,7 @@ def test_both_stages(spark, stream, vectors, tmp_path):
 @pytest.mark.parametrize(
     "knobs",
     [dict(epochs=0), dict(window_size=0), dict(train_percent=100), dict(averaging_frequency=0),
-     dict(workers=0)],
+     dict(workers=0), dict(workers=1 << 20)],
 )
 def test_settings_are_checked(knobs):
     with pytest.raises(ValueError):
@@ -218,4 +264,4 @@ def test_settings_are_checked(knobs):
 def test_default_settings():
     s = Settings()
     assert (s.embedding_dim, s.window_size, s.hidden_size) == (50, 4, 128)
-    assert (s.batch_size, s.epochs, s.averaging_frequency) == (32, 5, 5)
+    assert (s.batch_size, s.epochs, s.averaging_frequency) == (32, 5, None)
