@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ PIECE = 512
 #: Windows that are balanced together. A partition wastes less than one window, a batch some tokens.
 WINDOWS = 256
 #: Words whose ids a Python worker remembers.
-WORDS = 600_000
+WORDS = 1_500_000
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Letters up to here have the same lower case in any library.
@@ -37,26 +38,55 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         words = [text.replace("\n", " ").split(" ") for text in texts]
         new = set().union(*words).difference(self.known)
         lookup = self.known
         if new:
-            parts = {word: _parts(word) for word in new}
-            bare = list({p for both in parts.values() for p in both}.difference(self.known))
-            coded = self.tokenizer.encode_batch_fast(bare, add_special_tokens=False)
-            ids = {b: np.array(c.ids, "<u4").tobytes() for b, c in zip(bare, coded, strict=True)}
-            whole = self.known | ids if len(self.known) < WORDS else _Both(ids, self.known)
-            found = {word: b"".join(whole[p] for p in both) for word, both in parts.items()}
+            found = self._encoded(new)
             if len(self.known) < WORDS:
-                self.known.update(ids)
                 self.known.update(found)
-                lookup = self.known
             else:
                 lookup = _Both(found, self.known)
         return [b"".join(map(lookup.__getitem__, w)) for w in words]
 
+    def _encoded(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of words, and of those words in lower case without a comma or point behind them."""
+        plain, other, cut = set(), set(), []
+        for word in new:
+            core, end = _parts(word)
+            if core.isalpha() and (core.isascii() or max(core) <= _LAST_PLAIN):
+                core = core.lower()
+                plain.add(core)
+            else:
+                other.add(core)
+            cut.append((word, core, end))
+        other.update(",.")
+        ids = self._of_letters(list(plain.difference(self.known)))
+        rest = list(other.difference(self.known))
+        for word, coded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            ids[word] = struct.pack(f"<{len(coded.ids)}I", *coded.ids)
+        lookup = _Both(ids, self.known)
+        ids.update([(word, lookup[core] + lookup[end]) for word, core, end in cut])
+        return ids
+
+    def _of_letters(self, words: list[str]) -> dict[str, bytes]:
+        """Words of letters only are encoded many at a time: each ends with the one id that ends a word."""
+        parts = [words[k : k + 64] for k in range(0, len(words), 64)]
+        found = {}
+        for part, coded in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False), strict=True):
+            ids = np.array(coded.ids, "<u4")
+            ends = (4 * np.flatnonzero(self.ends_word[ids]) + 4).tolist()
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer does not end every word with an id of its own")
+            data = ids.tobytes()
+            found.update(zip(part, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+        return found
+
 
 class _Both(dict):
     """A small dictionary before a large one."""
@@ -69,14 +99,11 @@ class _Both(dict):
         return self.rest[key]
 
 
-def _parts(word: str) -> tuple[str, ...]:
-    """A word of plain letters in lower case, and the comma or point behind it: ids of both in turn are the word's."""
-    end = ()
+def _parts(word: str) -> tuple[str, str]:
+    """A word and the comma or point behind its last letter: the ids of both in turn are the word's."""
     if word[-1] in ",." and word[-2:-1].isalpha() and word[-2] <= _LAST_PLAIN:
-        word, end = word[:-1], (word[-1],)
-    if word.isalpha() and max(word) <= _LAST_PLAIN:
-        word = word.lower()
-    return (word, *end)
+        return word[:-1], word[-1]
+    return word, ""
 
 
 def differencing(sizes: list[int], ways: int) -> list[list[int]]:
@@ -112,7 +139,7 @@ def differencing(sizes: list[int], ways: int) -> list[list[int]]:
                 else:
                     trees.append((sets[at], t))
                     sets[at] = len(trees) - 1
-        order = np.argsort(np.negative(sums), kind="stable").tolist()
+        order = sorted(range(len(sums)), key=sums.__getitem__, reverse=True)
         sums, sets = [sums[k] for k in order], [sets[k] for k in order]
         low = sums[-1] if len(sums) == ways else 0
         heapq.heappush(heap, (low - sums[0], serial, sums, sets))

@@ -32,6 +32,9 @@ def test_words_have_the_ids_of_the_text(plain, monkeypatch):
     few = packing.WordIds(tokenizer_path())
     for _ in range(2):
         assert few(HARD) == ids_of(HARD)
+    many = [w.upper() for text in HARD for w in text.split()] + [f"wörd{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(600)]
+    for word, ids in zip(many, ids_of(many), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain(word)[:-1], word
 
 
 def test_differencing_is_near_equal_and_complete():
