@@ -56,7 +56,10 @@ def to_time_series(matrix: Column, dim: int) -> Column:
 
 
 def tile_target(vec: Column, steps: int) -> Column:
-    """The same target at every step."""
+    """The same target at every step.
+
+    A target that has a vector for each step already is only transposed, by :func:`to_time_series`.
+    """
     return F.array_repeat(vec, steps)
 
 
