@@ -110,7 +110,6 @@ def near_vectors(
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must lie in (0, 1]")
-    spark = rows.sparkSession
     source = rows.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
     # a sum of squares is not tested: it may overflow where the parts are finite
     usable = F.expr("vec is not null and forall(vec, x -> x is not null and not isnan(x) and abs(x) < double('Infinity')) and exists(vec, x -> x <> 0)")
@@ -146,7 +145,6 @@ def near_vectors(
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         F.coalesce("name", "least").alias("component_id"),
     )
-    spark.sparkContext.setJobDescription(None)
     result = source.join(facts, "vec", "left").select(
         F.col("id").alias(id_col),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
