@@ -16,6 +16,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_sample(df: DataFrame, rows: int) -> DataFrame:
+    """At most ``rows`` rows of ``df``, chosen by a hash of the whole row.
+
+    Rows are counted first and all but about twice as many as wanted are left where they are, so what
+    meets in one task does not grow with the table.
+    """
+    place = F.pmod(F.xxhash64(*df.columns), F.lit(1 << 30))
+    share = min(1.0, 2 * rows / max(df.count(), 1))
+    near = df.where(place < F.lit(int(share * (1 << 30)) + 1))
+    return near.orderBy(place, *df.columns).limit(rows)
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b): one row (node, component) per node.
 

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from seqloom.llm.common import bounded_sample
+
 #: The kinds of personal data, in order. Label 0 of the field is none of them.
 KINDS = ("email", "ip", "card", "phone")
 #: Documents that the field is fitted on, of those that hold a candidate: the bound of the training sample.
@@ -159,15 +161,15 @@ def labels_of(tokens: Tokens, good: list[Span], bad: list[Span]) -> tuple[np.nda
     return labels, open_
 
 
-def fit(docs: DataFrame, text_col: str = "text", rows: int = TRAIN_ROWS) -> Field:
-    """A field from at most ``rows`` documents with candidates, chosen by a hash of their text.
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS) -> Field:
+    """A field from at most ``rows`` documents with candidates, chosen by a hash.
 
     Labels are those of the rules. The weights of features are fitted by gradient descent on the
     tokens' log likelihood, those of links are the log odds of pairs of labels against chance, so
     each part is fitted by itself. Tasks return counts of feature sets and of label pairs.
     """
-    chosen = docs.select(F.col(text_col).alias("text")).where(F.col(text_col).rlike(_CANDIDATE))
-    chosen = chosen.orderBy(F.xxhash64("text"), "text").limit(rows)
+    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col(text_col).rlike(_CANDIDATE))
+    chosen = bounded_sample(chosen, rows).select("text")
 
     def count(batches):
         seen: dict[tuple[str, str, int], int] = {}
