@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seqloom.llm.common import bounded_sample
 from seqloom.llm.urls import host_of, path_of
 from seqloom.storage import stage
 
@@ -61,14 +62,14 @@ def trigrams(text: str) -> np.ndarray:
     return (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x27D4EB2F) >> np.uint32(16)
 
 
-def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang", rows: int = TRAIN_ROWS) -> TextModel:
-    """A text model from at most ``rows`` labelled rows, chosen by a hash of label and text.
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", rows: int = TRAIN_ROWS) -> TextModel:
+    """A text model from at most ``rows`` labelled rows, chosen by a hash.
 
     Counts are summed in the tasks, so the driver gets one row of counts per language. Rows without
     a label or text are not chosen; without any labelled row the model knows no language.
     """
-    chosen = docs.select(F.col(label_col).alias("label"), F.col(text_col).alias("text")).where("label is not null and text <> ''")
-    chosen = chosen.orderBy(F.xxhash64("label", "text")).limit(rows)
+    chosen = docs.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(text_col).alias("text"))
+    chosen = bounded_sample(chosen.where("label is not null and text <> ''"), rows).select("label", "text")
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
