@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seqloom.llm.common import bounded_sample
 from seqloom.storage import stage
 
 #: Characters of the shortest candidate.
@@ -28,7 +29,7 @@ LEAST_PROBABILITY = 0.5
 _CHAR = "[A-Za-z0-9+/_-]"
 #: A run of key characters with a digit or with a capital behind a small letter.
 _CANDIDATE = rf"(?<!{_CHAR})(?={_CHAR}*(?:[0-9]|[a-z][A-Z])){_CHAR}{{{LEAST_CHARS},}}={{0,2}}"
-_SPLIT = rf"(?s)(.*?)({_CANDIDATE})"
+_SPLIT = rf"(?s)(.*?)({_CANDIDATE}|\z)"
 _MAYBE = rf"{_CHAR}{{{LEAST_CHARS}}}"
 _LETTERS = r"[^a-zà-öø-ÿ]+"
 
@@ -47,31 +48,36 @@ FEATURES = (
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
     """(id, path, start, secret, before, after) of every candidate; starts count code points from 0.
 
-    A text is cut into pieces that each end with a candidate, so starts are sums of lengths.
+    A text is cut into pieces that each end with a candidate, the last one with the text, so starts
+    are sums of lengths and the pattern never fails over the rest of a text.
     """
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
-    some = docs.where(F.col(text_col).rlike(_MAYBE)).select(
+    pieces = docs.where(F.col(text_col).rlike(_MAYBE)).select(
         F.col(id_col).alias("id"),
         path.alias("path"),
         F.regexp_extract_all(text_col, F.lit(_SPLIT), F.lit(1)).alias("gaps"),
         F.regexp_extract_all(text_col, F.lit(_SPLIT), F.lit(2)).alias("found"),
-        F.col(text_col).alias("text"),
     )
     lengths = F.zip_with("gaps", "found", lambda g, f: F.length(g) + F.length(f))
-    ends = F.aggregate(
-        lengths, F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("ends")), lambda a, n: F.struct((a["sum"] + n).alias("sum"), F.concat(a["ends"], F.array(a["sum"] + n)).alias("ends"))
-    )["ends"]
-    rows = some.where(F.size("found") > 0).withColumn("ends", ends)
-    rows = rows.select("id", "path", "text", "gaps", "ends", F.posexplode("found").alias("k", "secret"))
-    end = F.get("ends", F.col("k"))
-    return rows.select(
-        "id",
-        "path",
-        (end - F.length("secret")).cast("long").alias("start"),
-        "secret",
-        F.substring(F.get("gaps", F.col("k")), -CONTEXT_CHARS, CONTEXT_CHARS).alias("before"),
-        F.substr("text", end + 1, F.lit(1)).alias("after"),
-    )
+    none = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("ends"))
+
+    def add(so_far: Column, length: Column) -> Column:
+        end = so_far["sum"] + length
+        return F.struct(end.alias("sum"), F.concat(so_far["ends"], F.array(end)).alias("ends"))
+
+    pieces = pieces.where(F.size("found") > 1).withColumn("ends", F.aggregate(lengths, none, add)["ends"])
+
+    def candidate(k: Column) -> Column:
+        secret = F.get("found", k)
+        return F.struct(
+            (F.get("ends", k) - F.length(secret)).cast("long").alias("start"),
+            secret.alias("secret"),
+            F.substring(F.get("gaps", k), -CONTEXT_CHARS, CONTEXT_CHARS).alias("before"),
+            F.substring(F.get("gaps", k + 1), 1, 1).alias("after"),
+        )
+
+    every = F.transform(F.sequence(F.lit(0), F.size("found") - 2), candidate)
+    return pieces.select("id", "path", F.inline(every)).where("secret <> ''")
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -159,8 +165,7 @@ def fit(labelled: DataFrame, rows: int = TRAIN_ROWS) -> RandomForestClassificati
 
     None if the findings do not have both labels.
     """
-    chosen = labelled.select("label", *FEATURES).orderBy(F.xxhash64(*FEATURES), "label").limit(rows)
-    chosen = stage(chosen, "secret-training")
+    chosen = stage(bounded_sample(labelled.select("label", *FEATURES), rows), "secret-training")
     sizes = {r.label: r["count"] for r in chosen.groupBy("label").count().collect()}
     if set(sizes) != {0.0, 1.0}:
         return None
