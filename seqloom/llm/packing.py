@@ -18,7 +18,7 @@ PIECE = 512
 #: Windows that are balanced together. A partition wastes less than one window, a batch some tokens.
 WINDOWS = 256
 #: Words whose ids a Python worker remembers.
-WORDS = 1_500_000
+WORDS = 1_000_000
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Letters up to here have the same lower case in any library.
