@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-#: Fixed masks: word positions that are hashed; those between are ignored. Any 13 words of which at most two differ hold a hit of one of them.
-MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
+#: Fixed masks: word positions that are hashed; those between are ignored. Any 13 to 25 words of which SHARE are equal hold a hit of one
+#: of them; so does any longer stretch, as one of its halves is such a stretch again.
+MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8), (0, 2, 7, 9, 10, 11), (0, 1, 4, 8, 10, 12))
 #: Words of the shortest overlap, and the part of them that must be equal.
 LEAST_WORDS = 13
 SHARE = (4, 5)

@@ -81,3 +81,20 @@ def test_query_finds_planted_passages(spark):
     found = {(r.doc_id, r.item_id) for r in op9_decontamination(spark, SF_DIR).collect()}
     exact = {(d, i) for d, t in docs.items() for i, p in items.items() if t and p in t}
     assert exact and exact <= found
+
+
+def test_masks_hit_every_stretch_within_the_share():
+    # a stretch of 26 words or more has a half of 13 or more words within the share
+    for length in range(decontaminate.LEAST_WORDS, 2 * decontaminate.LEAST_WORDS):
+        laid = [sum(1 << (o + s) for o in m) for m in decontaminate.MASKS for s in range(length - m[-1])]
+        for gone in itertools.combinations(range(length), length - -(-length * 4 // 5)):
+            bits = sum(1 << k for k in gone)
+            assert any(not bits & m for m in laid), (length, gone)
+
+
+def test_three_of_fifteen_words_changed_are_found():
+    words = [f"w{k}" for k in range(15)]
+    index = decontaminate.TestIndex([" ".join(words)])
+    for gone in itertools.combinations(range(15), 3):
+        text = " ".join("x" if k in gone else w for k, w in enumerate(words))
+        assert [(o.words, o.equal) for o in index.overlaps(text)] == [(15, 12)]
