@@ -49,7 +49,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(id, path, start, secret, before, after) of every candidate; starts count code points from 0.
 
     A text is cut into pieces that each end with a candidate, the last one with the text, so starts
-    are sums of lengths and the pattern never fails over the rest of a text.
+    are sums of lengths and the pattern never fails over the rest of a text. ``before`` is the text in
+    front of a candidate, also where it is a candidate itself, as long names of variables are.
     """
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
     pieces = docs.where(F.col(text_col).rlike(_MAYBE)).select(
@@ -67,12 +68,21 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     pieces = pieces.where(F.size("found") > 1).withColumn("ends", F.aggregate(lengths, none, add)["ends"])
 
+    def end_of(piece: Column) -> Column:
+        return F.coalesce(F.substring(piece, -CONTEXT_CHARS, CONTEXT_CHARS), F.lit(""))
+
+    def before(k: Column) -> Column:
+        # candidates are context too; so many of the shortest have CONTEXT_CHARS characters
+        back = range(-(-CONTEXT_CHARS // LEAST_CHARS), 0, -1)
+        pieces_before = [end_of(F.get(part, k - n + shift)) for n in back for part, shift in (("found", 0), ("gaps", 1))]
+        return end_of(F.concat(*pieces_before))
+
     def candidate(k: Column) -> Column:
         secret = F.get("found", k)
         return F.struct(
             (F.get("ends", k) - F.length(secret)).cast("long").alias("start"),
             secret.alias("secret"),
-            F.substring(F.get("gaps", k), -CONTEXT_CHARS, CONTEXT_CHARS).alias("before"),
+            before(k).alias("before"),
             F.substring(F.get("gaps", k + 1), 1, 1).alias("after"),
         )
 

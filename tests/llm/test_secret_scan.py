@@ -83,3 +83,15 @@ def test_transitions_are_shares(spark):
     found = {r.pair: round(float(2.718281828459045**r.weight), 6) for r in secret_scan.transitions(words).collect()}
     assert found == {"ab": 0.8, "ba": 1.0, "ac": 0.2, "cc": 1.0}
     assert secret_scan.dictionary(spark.createDataFrame([("One one ONE, one-one tw TWO1two",)], "text string")).where(F.col("times") == 5).first().word == "one"
+
+
+def test_names_that_are_candidates_are_context(spark):
+    value = "q8Zr3LmW0xTn5Vb2Kc7D"
+    texts = [f'let awsSecretAccessKey = "{value}"', f"AWS_S3_SECRET_ACCESS_KEY={value}", f"é a1b2c3d4e5f6g7h8 i1b2c3d4e5f6g7h8 j1b2c3d4e5f6g7h8 k1b2c3d4e5f6g7h8 {value}"]
+    docs = frame(spark, texts)
+    found = secret_scan.candidates(docs)
+    wanted = {(k, t[max(0, t.index(value) - 40) : t.index(value)]) for k, t in enumerate(texts)}
+    assert {(r.id, r.before) for r in found.where(F.col("secret") == value).collect()} == wanted
+    rows = secret_scan.with_features(found, secret_scan.dictionary(docs)).where(F.col("secret") == value).where("id < 2")
+    assert [(r.words_for, r.assigned) for r in rows.collect()] == [(1.0, 1.0)] * 2
+    assert [r.label for r in secret_scan.plain_labels(rows).collect()] == [1.0, 1.0]
