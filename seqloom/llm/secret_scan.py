@@ -18,7 +18,7 @@ CONTEXT_CHARS = 40
 #: Times a word must occur in the corpus to be in the dictionary, and its shortest length.
 LEAST_TIMES = 5
 LEAST_WORD = 3
-#: Labelled findings that the forest is fitted on, and its size: the bound of the training sample.
+#: Findings of each label that the forest is fitted on, and its size: the bound of the training sample.
 TRAIN_ROWS = 20_000
 TREES = 20
 DEPTH = 6
@@ -171,11 +171,12 @@ def _assembled(rows: DataFrame) -> DataFrame:
 
 
 def fit(labelled: DataFrame, rows: int = TRAIN_ROWS) -> RandomForestClassificationModel | None:
-    """A forest from at most ``rows`` labelled findings (FEATURES and ``label``), chosen by a hash; the two classes weigh the same.
+    """A forest from at most ``rows`` findings of each label (FEATURES and ``label``), chosen by a hash; the two classes weigh the same.
 
-    None if the findings do not have both labels.
+    None if the findings do not have both labels, at any size of the table.
     """
-    chosen = stage(bounded_sample(labelled.select("label", *FEATURES), rows), "secret-training")
+    known = labelled.select("label", *FEATURES)
+    chosen = stage(bounded_sample(known.where("label = 0"), rows).unionByName(bounded_sample(known.where("label = 1"), rows)), "secret-training")
     sizes = {r.label: r["count"] for r in chosen.groupBy("label").count().collect()}
     if set(sizes) != {0.0, 1.0}:
         return None

@@ -95,3 +95,15 @@ def test_names_that_are_candidates_are_context(spark):
     rows = secret_scan.with_features(found, secret_scan.dictionary(docs)).where(F.col("secret") == value).where("id < 2")
     assert [(r.words_for, r.assigned) for r in rows.collect()] == [(1.0, 1.0)] * 2
     assert [r.label for r in secret_scan.plain_labels(rows).collect()] == [1.0, 1.0]
+
+
+def test_a_rare_class_is_in_the_sample(spark):
+    # 4 secrets among 4,000 other strings, of which 50 are drawn
+    zero = {f: 0.0 for f in secret_scan.FEATURES}
+    rows = [(float(k % 1000 == 0), *{**zero, "length": float(k), "assigned": float(k % 1000 == 0)}.values()) for k in range(4000)]
+    labelled = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in ("label", *secret_scan.FEATURES)))
+    model = secret_scan.fit(labelled, rows=50)
+    assert model is not None
+    found = secret_scan.secrets(labelled, model).where("is_secret").count()
+    assert found == 4
+    assert secret_scan.fit(labelled.where("label = 0"), rows=50) is None
