@@ -22,9 +22,9 @@ TRAIN_ROWS = 2000
 #: Features that a label needs to be seen with before it counts as known.
 SMOOTHING = 0.5
 LEARNING_STEPS = 300
-#: Rounds of message passing at most, and the change at which it ends.
-ROUNDS = 20
+#: The change of a message below which it is not passed on. Messages that swing in loops for ever end at so many updates of each on average.
 TOLERANCE = 1e-4
+MOST_UPDATES = 400
 #: A token is added with this belief.
 LEAST_BELIEF = 0.9
 #: Digits from the end that make two numbers alike.
@@ -232,8 +232,9 @@ def _softmax(logs: np.ndarray) -> np.ndarray:
 def beliefs(field: Field, tokens: Tokens, open_: np.ndarray) -> np.ndarray:
     """Beliefs in the labels of all tokens of a document, by loopy sum-product message passing.
 
-    Labels that are not open have no weight, so tokens that the rules have decided pass their labels on. All messages of a
-    round are computed at once, in time and memory that grow with the number of links.
+    Labels that are not open have no weight, so tokens that the rules have decided pass their labels on. Messages are computed
+    until none changes; a round takes only those whose input has changed, so a label that moves along a chain of repeats costs
+    a few updates a link, and time and memory grow with the number of links.
     """
     rows = [[field.names[f] for f in fs if f in field.names] for fs in tokens.features]
     logs = np.array([field.unary[r].sum(axis=0) for r in rows]) + field.unary[-1]
@@ -244,19 +245,25 @@ def beliefs(field: Field, tokens: Tokens, open_: np.ndarray) -> np.ndarray:
         source, target = np.concatenate([links[:, 0], links[:, 1]]), np.concatenate([links[:, 1], links[:, 0]])
         tables = np.concatenate([tables, tables.transpose(0, 2, 1)])
         back = np.concatenate([np.arange(len(links)) + len(links), np.arange(len(links))])
+        by_source = np.argsort(source, kind="stable")
+        first = np.searchsorted(source[by_source], np.arange(len(logs) + 1))
         messages = np.zeros((len(source), logs.shape[1]))
-        for _ in range(ROUNDS):
-            total = logs.copy()
-            np.add.at(total, target, messages)
-            out = (total[source] - messages[back])[:, :, None] + tables
+        total, now, left = logs.copy(), np.arange(len(source)), MOST_UPDATES * len(source)
+        while len(now) and left > 0:
+            left -= len(now)
+            out = (total[source[now]] - messages[back[now]])[:, :, None] + tables[now]
             top = out.max(axis=1)
             new = top + np.log(np.exp(out - top[:, None]).sum(axis=1))
             new -= new.max(axis=1, keepdims=True)
+            change = new - messages[now]
             # half of the old message keeps loops from swinging
-            change = np.abs(new - messages).max()
-            messages = (messages + new) / 2
-            if change < TOLERANCE:
-                break
+            messages[now] += change / 2
+            np.add.at(total, target[now], change / 2)
+            moved = now[np.abs(change).max(axis=1) >= TOLERANCE]
+            nodes = np.unique(target[moved])
+            counts = first[nodes + 1] - first[nodes]
+            places = np.arange(counts.sum()) + np.repeat(first[nodes] - np.cumsum(counts) + counts, counts)
+            now = np.unique(np.concatenate([moved, by_source[places]]))
         np.add.at(logs, target, messages)
     return _softmax(logs)
 

@@ -111,3 +111,33 @@ def test_odd_rows(spark, field):
     empty = pii.fit(frame.limit(0))
     assert pii.personal_data(frame.limit(0), empty).collect() == []
     assert [s.kind for s in pii.personal_data(frame, empty).where("doc_id is null").first().spans] == ["email"]
+
+
+def test_a_label_reaches_all_repeats():
+    size, n = len(pii.KINDS) + 1, 60
+    odds = np.full((size, size), 0.0)
+    np.fill_diagonal(odds, np.log(10_000))
+    field = pii.Field({}, np.zeros((1, size)), np.zeros((size, size)), odds)
+    tokens = pii.Tokens([(k, k + 1) for k in range(n)], [()] * n, [(k, k + 1) for k in range(n - 1)], [(k, k + 1) for k in range(n - 1)])
+    left = np.ones((n, size), bool)
+    left[0] = np.arange(size) == 4
+    found = pii.beliefs(field, tokens, left)[:, 4]
+    step = 10_000 / (10_000 + size - 1)
+    assert found[-1] > 0.97 and found[1] == pytest.approx(step, abs=1e-3)
+    # neutral neighbours make loops; on the chain alone beliefs are exact
+    wanted = [1.0]
+    for _ in range(n - 1):
+        wanted.append(wanted[-1] * step + (1 - wanted[-1]) * (1 - step) / (size - 1))
+    alone = pii.beliefs(field, tokens._replace(chain=[]), left)[:, 4]
+    assert np.allclose(alone, wanted, atol=2e-3)
+
+
+def test_many_repeats_take_linear_time():
+    size, n = len(pii.KINDS) + 1, 5_000
+    odds = np.zeros((size, size))
+    np.fill_diagonal(odds, np.log(10_000))
+    left = np.ones((n, size), bool)
+    left[0] = np.arange(size) == 4
+    tokens = pii.Tokens([(k, k + 1) for k in range(n)], [()] * n, [], [(k, k + 1) for k in range(n - 1)])
+    found = pii.beliefs(pii.Field({}, np.zeros((1, size)), odds, odds), tokens, left)[:, 4]
+    assert found[1000] > 0.6 > found[-1]
