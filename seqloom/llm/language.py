@@ -9,15 +9,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from seqloom.llm.common import bounded_sample
 from seqloom.llm.urls import host_of, path_of
 from seqloom.storage import stage
 
-#: Labelled rows that the text model is fitted on, and the languages it may tell apart: the bound of the training sample.
+#: Labelled rows that the text model is fitted on, shared by the languages, and the rows that each may have at least: the bound of the training sample.
 TRAIN_ROWS = 4000
-MOST_LANGUAGES = 64
-#: A language needs this share of the sample.
+LEAST_SAMPLE = 300
+#: A language needs so many rows of the whole table, or this share of a small one.
+LEAST_ROWS = 20
 LEAST_SHARE = 0.005
 #: Places of the hashed character trigrams.
 SLOTS = 1 << 16
@@ -63,32 +64,42 @@ def trigrams(text: str) -> np.ndarray:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", rows: int = TRAIN_ROWS) -> TextModel:
-    """A text model from at most ``rows`` labelled rows, chosen by a hash.
+    """A text model of every label with enough rows, from a sample of each, chosen by a hash.
 
-    Counts are summed in the tasks, so the driver gets one row of counts per language. Rows without
-    a label or text are not chosen; without any labelled row the model knows no language.
+    Labels are counted over all rows. Each has an even part of ``rows`` in the sample, or LEAST_SAMPLE
+    if that is more. Counts are summed in the tasks, so the driver gets some rows of counts per
+    language. Rows without a label or text are not chosen; without any labelled row the model knows
+    no language.
     """
-    chosen = docs.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(text_col).alias("text"))
-    chosen = bounded_sample(chosen.where("label is not null and text <> ''"), rows).select("label", "text")
+    chosen = docs.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(text_col).alias("text")).where("label is not null and text <> ''")
+    by_count = stage(chosen.groupBy("label").count(), "language-labels")
+    seen = by_count.agg(F.sum("count")).first()[0] or 0
+    enough = by_count.where(F.col("count") >= min(LEAST_ROWS, LEAST_SHARE * seen))
+    part = max(rows // max(enough.count(), 1), LEAST_SAMPLE)
+    # about twice the rows wanted are near; of those the first of each label are taken
+    near = F.least(F.lit(1.0), F.lit(2.0 * part) / F.col("count")) * (1 << 30)
+    place = F.pmod(F.xxhash64("id", "label", "text"), F.lit(1 << 30))
+    chosen = chosen.withColumn("place", place).join(F.broadcast(enough.select("label", near.alias("near"))), "label").where("place <= near")
+    first = F.row_number().over(Window.partitionBy("label").orderBy("place", "id", "text"))
+    chosen = chosen.withColumn("first", first).where(F.col("first") <= part).select("label", "text")
 
     def count(batches):
-        sums: dict[str, np.ndarray] = {}
+        last, sums = None, None
         for batch in batches:
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if label in sums or len(sums) < 10 * MOST_LANGUAGES:
-                    sums.setdefault(label, np.zeros(SLOTS + 1, np.int64))
-                    sums[label][:-1] += np.bincount(trigrams(text.as_py()), minlength=SLOTS)
-                    sums[label][-1] += 1
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(sums.keys()), pa.array([v.tobytes() for v in sums.values()])], ["label", "counts"])
+                if label != last:
+                    if sums is not None:
+                        yield pa.RecordBatch.from_arrays([pa.array([last]), pa.array([sums.tobytes()])], ["label", "counts"])
+                    last, sums = label, np.zeros(SLOTS, np.int64)
+                sums += np.bincount(trigrams(text.as_py()), minlength=SLOTS)
+        if sums is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([last]), pa.array([sums.tobytes()])], ["label", "counts"])
 
     by_label: dict[str, np.ndarray] = {}
     for label, counts in chosen.mapInArrow(count, "label string, counts binary").collect():
         by_label[label] = by_label.get(label, 0) + np.frombuffer(counts, np.int64)
-    seen = sum(v[-1] for v in by_label.values())
-    common = sorted(by_label, key=lambda k: (-by_label[k][-1], k))[:MOST_LANGUAGES]
-    languages = sorted(k for k in common if by_label[k][-1] >= LEAST_SHARE * seen and by_label[k][:-1].any())
-    table = np.array([by_label[k][:-1] for k in languages]).reshape(len(languages), SLOTS) + SMOOTHING
+    languages = sorted(k for k in by_label if by_label[k].any())
+    table = np.array([by_label[k] for k in languages]).reshape(len(languages), SLOTS) + SMOOTHING
     return TextModel(languages, np.log(table / table.sum(axis=1, keepdims=True)).T.astype(np.float32).copy())
 
 
@@ -174,6 +185,7 @@ def identify(
     declared: Column | None = None,
     suffix: Column | None = None,
     host: Column | None = None,
+    label: Column | None = None,
 ) -> DataFrame:
     """(id, language, probability, text_language, kept) for every row of ``rows``.
 
@@ -181,7 +193,8 @@ def identify(
     the support of the declared language and of the address suffix. Priors and supports come from
     counts over all rows of the languages that texts alone speak for. A null hint or host says
     nothing. A text without letters, a best language of probability below LEAST_PROBABILITY, or
-    ``OTHER`` as best is rejected (``kept`` false); ties go to the first language by name. Repeated
+    ``OTHER`` as best is rejected (``kept`` false), unless it has letters and a ``label``, a language
+    as in training, of which there is no model; ties go to the first language by name. Repeated
     rows are judged each time, null ids like others, an empty table gives no rows. Columns of
     ``rows`` that are not named here are not read.
     """
@@ -189,14 +202,15 @@ def identify(
     size = len(model.languages)
     null = F.lit(None).cast("string")
     hints = {"declared": declared, "suffix": suffix, "host": host}
+    unjudged = F.lit(False) if label is None else label.isNotNull() & ~F.coalesce(label.cast("string").isin(model.languages), F.lit(False))
     source = rows.select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), *((null if c is None else c.cast("string")).alias(n) for n, c in hints.items())
+        F.col(id_col).alias("id"), unjudged.alias("unjudged"), F.col(text_col).alias("text"), *((null if c is None else c.cast("string")).alias(n) for n, c in hints.items())
     )
     scored = text_scores(source, model, "text")
     best = F.array_position("scores", F.array_max("scores")) - 1
     scored = stage(scored.withColumn("vote", F.when(F.col("letters") & (best < size), best)), "language-scores")
     if not size:
-        return scored.select(F.col("id").alias(id_col), F.lit(OTHER).alias("language"), F.lit(1.0).alias("probability"), F.lit(None).cast("string").alias("text_language"), F.lit(False).alias("kept"))
+        return scored.select(F.col("id").alias(id_col), F.lit(OTHER).alias("language"), F.lit(1.0).alias("probability"), F.lit(None).cast("string").alias("text_language"), (F.col("unjudged") & F.col("letters")).alias("kept"))
     flat = F.array(*(F.lit(0.0) for _ in range(size)))
     even = F.array(*(F.lit(1.0 / size) for _ in range(size)))
     fused = scored
@@ -221,7 +235,7 @@ def identify(
     known = F.array(*(F.lit(n) for n in names))
     probability = F.lit(1.0) / mass
     language = F.element_at(known, F.array_position("logs", F.col("top")).cast("int"))
-    kept = F.col("letters") & (language != OTHER) & (probability >= LEAST_PROBABILITY)
+    kept = F.col("letters") & (F.col("unjudged") | (language != OTHER) & (probability >= LEAST_PROBABILITY))
     return fused.select(
         F.col("id").alias(id_col),
         language.alias("language"),

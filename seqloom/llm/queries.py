@@ -86,7 +86,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document: its text, its declared language and its source as host."""
     ship_package(spark)
     docs = table(spark, sf_dir, "documents")
-    return language.identify(docs, language.fit(docs), declared=F.col("lang"), host=F.col("source"))
+    return language.identify(docs, language.fit(docs), declared=F.col("lang"), host=F.col("source"), label=F.col("lang"))
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -123,3 +123,16 @@ def test_empty_tables(spark, docs, model):
     assert {r.kept for r in language.identify(docs.limit(3), empty).collect()} == {False}
     few = spark.createDataFrame([(None, None, None), (2, "", "en"), (2, "the", None)], "doc_id int, text string, lang string")
     assert [r.kept for r in language.identify(few, model, declared=F.col("lang")).orderBy("kept").collect()] == [False, False, True]
+
+
+def test_rare_labels_are_known_or_kept(spark):
+    # 30 of 10,000 rows are 0.3 %; 3 rows are too few for a model
+    rows = [(k, "the of and that with this from", "en") for k in range(9967)]
+    rows += [(20_000 + k, "και το της είναι για από", "el") for k in range(30)] + [(30_000 + k, "это был он как что", "ru") for k in range(3)]
+    rows += [(40_000, "123 ...", "ru")]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, lang string").repartition(3)
+    model = language.fit(frame, rows=400)
+    assert model.languages == ["el", "en"]
+    found = {r.doc_id: r for r in language.identify(frame, model, declared=F.col("lang"), label=F.col("lang")).collect()}
+    assert all(found[20_000 + k].language == "el" and found[20_000 + k].kept for k in range(30))
+    assert all(found[30_000 + k].kept for k in range(3)) and not found[40_000].kept
