@@ -132,6 +132,11 @@ def declared_language(html: Column) -> Column:
     return F.when(found != "", found)
 
 
+def page_text(html: Column) -> Column:
+    """What a page says without its markup, scripts, styles and comments."""
+    return F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+
+
 def _counts(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
     """``votes``: for each key the number of rows by best language of the text."""
     votes = F.array(*(F.count(F.when(F.col("vote") == k, 1)).cast("double") for k in range(size)))

@@ -83,12 +83,23 @@ def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The language of every document: its text, its declared language and its source as host."""
+    """The language of every document: its text, its declared language and its source as host. Documents have no address; pages do, see below."""
     ship_package(spark)
     docs = table(spark, sf_dir, "documents")
     return language.identify(docs, language.fit(docs), declared=F.col("lang"), host=F.col("source"), label=F.col("lang"))
 
 
+def op7_language_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page: its text, the language its markup declares, its address suffix and its host."""
+    ship_package(spark)
+    rows = table(spark, sf_dir, "pages").withColumn("text", language.page_text(F.col("html")))
+    model = language.fit(table(spark, sf_dir, "documents"))
+    address = F.col("url")
+    return language.identify(
+        rows, model, id_col="page_id", declared=language.declared_language(F.col("html")), suffix=language.address_suffix(address), host=urls.host_of(address)
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in windows of at most 2,048 tokens."""
     ship_package(spark)
@@ -120,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_chat,
         op6_lines,
         op7_language,
+        op7_language_pages,
         op8_packing,
         op9_decontamination,
         op10_simhash,

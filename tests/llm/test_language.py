@@ -136,3 +136,18 @@ def test_rare_labels_are_known_or_kept(spark):
     found = {r.doc_id: r for r in language.identify(frame, model, declared=F.col("lang"), label=F.col("lang")).collect()}
     assert all(found[20_000 + k].language == "el" and found[20_000 + k].kept for k in range(30))
     assert all(found[30_000 + k].kept for k in range(3)) and not found[40_000].kept
+
+
+def test_query_judges_pages_with_all_evidence(spark, monkeypatch):
+    from seqloom.llm.queries import QUERIES
+
+    seen = {}
+    inner = language.identify
+    monkeypatch.setattr(language, "identify", lambda rows, model, **hints: seen.update(hints) or inner(rows, model, **hints))
+    found = QUERIES["op7_language_pages"](spark, SF_DIR)
+    assert all(seen[h] is not None for h in ("declared", "suffix", "host"))
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    right = found.join(pages.select("page_id", language.declared_language(F.col("html")).alias("lang")), "page_id")
+    assert found.count() == pages.count() and right.where("language = lang").count() > 0.95 * pages.count()
+    text = spark.sql("select '<p class=a>one<script>var x=1;</script>two<!-- three\n--></p>' as html").select(language.page_text(F.col("html"))).first()[0]
+    assert text.split() == ["one", "two"]
