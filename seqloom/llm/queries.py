@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.catalog.spark_queries import ship_package
-from seqloom.llm import chat, decontaminate, language, lines, packing, pii, quantised, secret_scan, simhash, urls
+from seqloom.llm import chat, decontaminate, language, lines, packing, piece_table, pii, quantised, secret_scan, simhash, urls
 from seqloom.llm.common import table
 from seqloom.storage import stage
 
@@ -121,6 +121,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(prints).withColumn("fingerprint", simhash.hex_print(F.col("fingerprint")))
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as fill-in-middle text, and the text restored from it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = piece_table.restore(piece_table.fill_in_middle(docs))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -135,7 +143,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_decontamination,
         op10_simhash,
+        op11_fim,
     )
 }
-#: What SQL can say of these is in the tests, as plain versions; iterations, models and hashes it cannot.
-ORACLE: dict[str, str] = {}
+_FIM = """
+WITH draws AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d
+  FROM documents
+), numbers AS (
+  SELECT doc_id, t, n,
+         CAST('0x' || substr(d, 1, 8) AS BIGINT) % (n + 1) AS p1, CAST('0x' || substr(d, 9, 8) AS BIGINT) % (n + 1) AS p2,
+         CAST('0x' || substr(d, 17, 8) AS BIGINT) % 100 AS p3, CAST('0x' || substr(d, 25, 8) AS BIGINT) % 100 AS p4
+  FROM draws
+), cuts AS (
+  SELECT *, least(p1, p2) AS a, greatest(p1, p2) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR p3 >= 90 THEN 'plain'
+              WHEN p4 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers
+), parts AS (
+  SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1, n - b) AS suffix FROM cuts
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+#: SQL for what it can express; iterations, models and hashes are held against plain versions in the tests.
+ORACLE: dict[str, str] = {"op11_fim": _FIM}
