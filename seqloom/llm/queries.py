@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.catalog.spark_queries import ship_package
-from seqloom.llm import chat, decontaminate, language, lines, packing, piece_table, pii, quantised, secret_scan, simhash, urls, whitening
+from seqloom.llm import chat, decontaminate, imatch, language, lines, packing, piece_table, pii, quantised, secret_scan, simhash, urls, whitening
 from seqloom.llm.common import table
 from seqloom.storage import stage
 
@@ -129,6 +129,12 @@ def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+def op12_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document, held against its edited text and the next document."""
+    docs = table(spark, sf_dir, "documents")
+    return imatch.match_next(docs, imatch.lexicon(docs))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector on the sixteen leading components."""
     ship_package(spark)
@@ -150,6 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_decontamination,
         op10_simhash,
         op11_fim,
+        op12_imatch,
         op13_whitening,
     )
 }
