@@ -265,6 +265,31 @@ SELECT CAST(vec_id AS INTEGER) AS token_id, {spread('v', 'embedding')} FROM embe
     "scan_embeddings_csv_bad_ids": f"""
 SELECT CAST(vec_id AS INTEGER) AS token_id, {spread('v', 'embedding')} FROM embeddings
 WHERE vec_id % 5 <> 0
+""",
+    "rejected_embedding_rows": """
+WITH lines AS (
+  SELECT vec_id, copy, CASE WHEN vec_id % 7 = 0 THEN NULL WHEN vec_id % 5 = 0 THEN 'x' || vec_id ELSE CAST(vec_id AS VARCHAR) END AS id
+  FROM embeddings CROSS JOIN (SELECT unnest([0, 1]) AS copy) WHERE copy = 0 OR vec_id % 3 = 0),
+told AS (
+  SELECT CASE WHEN id LIKE 'x%' THEN id || ',' || (vec_id % 10) ELSE id END AS raw,
+         CASE WHEN id IS NULL THEN 'no id' WHEN id LIKE 'x%' THEN 'unreadable id'
+              WHEN copy = 0 AND vec_id % 3 = 0 THEN 'replaced' END AS reason
+  FROM lines)
+SELECT raw, reason, (SELECT count(*) FROM told WHERE reason IS NULL) AS kept FROM told WHERE reason IS NOT NULL
+""",
+    "rejected_token_lists": f"""
+WITH {ID_LISTS}
+SELECT tokens AS raw, 'unreadable list' AS reason, (SELECT CAST(sum(len(ids)) AS BIGINT) FROM parsed) AS ids,
+       (SELECT CAST(sum(len(ids)) AS BIGINT) FROM parsed) AS numbered
+FROM parsed WHERE n_pieces > 0 AND len(ids) = 0
+""",
+    "rejected_examples": f"""
+WITH {MESSY}
+SELECT event_id AS example_id, CASE WHEN len(vec) = {DIM} THEN 'kept' ELSE 'target of another length' END AS reason
+FROM found WHERE event_id >= {WINDOW}
+""",
+    "published_windows": f"""
+SELECT *, CAST(2 AS BIGINT) AS version, (SELECT count(*) - {WINDOW} FROM events) AS n_rows FROM ({EVENT_WINDOWS})
 """,
     "pack_vector": """
 SELECT p_partkey, CAST(CAST(p_size AS FLOAT) AS DOUBLE) AS v_0,
@@ -302,6 +327,39 @@ FROM tokens LEFT JOIN embeddings ON vec_id = token_id
     "input_matrix_large": INPUT_MATRIX,
     "embed_windows": INPUT_MATRIX,
     "embed_windows_large": INPUT_MATRIX,
+    "embed_windows_gaps_large": f"{INPUT_MATRIX} WHERE example_id % 10 NOT IN (3, 4) AND example_id % 97 > 6",
+    "step_targets": f"""
+WITH {SPARSE}
+SELECT f.event_id + {WINDOW} - 1 - step AS example_id, CAST(step AS INTEGER) AS step, {spread('y', 'f.vec')}
+FROM found f CROSS JOIN (SELECT unnest(range({WINDOW})) AS step)
+WHERE f.event_id + {WINDOW} - 1 - step BETWEEN {WINDOW} AND (SELECT max(event_id) FROM events)
+""",
+    "step_target_series_large": f"""
+WITH {SPARSE},
+cells AS (
+  SELECT event_id, CAST(unnest(range({DIM})) AS INTEGER) AS dim, CAST(unnest(vec) AS DOUBLE) AS value FROM found)
+SELECT example_id, dim, {', '.join(f'max(value) FILTER (WHERE step = {s}) AS t_{s}' for s in range(WINDOW))}
+FROM (SELECT event_id + {WINDOW} - 1 - step AS example_id, dim, step, value
+      FROM cells CROSS JOIN (SELECT unnest(range({WINDOW})) AS step))
+WHERE example_id BETWEEN {WINDOW} AND (SELECT max(event_id) FROM events) GROUP BY example_id, dim
+""",
+    "prepare_counts": f"""
+WITH {MESSY},
+kept AS (
+  SELECT CASE WHEN CAST('0x' || substr(md5('split:' || event_id), 1, 8) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'valid' END AS side
+  FROM found WHERE event_id >= {WINDOW} AND len(vec) = {DIM}),
+twice AS (SELECT count(*) AS n FROM embeddings WHERE vec_id % 3 = 0)
+SELECT 'embeddings' AS part, 'n_rows' AS item, count(*) + (SELECT n FROM twice) AS n FROM embeddings
+UNION ALL SELECT 'embeddings', 'null_ids', 0
+UNION ALL SELECT 'embeddings', 'repeated_ids', n FROM twice
+UNION ALL SELECT 'embeddings', 'wrong_length', count(*) FROM embeddings WHERE vec_id % 7 = 0 OR vec_id % 11 = 0
+UNION ALL SELECT 'tokens', 'n_rows', count(*) FROM events
+UNION ALL SELECT 'tokens', 'null_ids', count(*) FROM events WHERE user_id IS NULL
+UNION ALL SELECT 'examples', 'kept', count(*) FROM kept
+UNION ALL SELECT 'examples', 'dropped', (SELECT count(*) FROM events) - {WINDOW} - count(*) FROM kept
+UNION ALL SELECT 'splits', side, count(*) FROM kept GROUP BY side
+UNION ALL SELECT 'stored', side, count(*) FROM kept GROUP BY side
+""",
     "input_matrix_messy": messy_matrix(WINDOW),
     "input_matrix_messy_large": messy_matrix(WINDOW),
     "input_matrix_messy_wide": messy_matrix(MESSY_WINDOW),
@@ -458,6 +516,16 @@ WITH kept AS (
     AND CAST('0x' || substr(md5('split:' || event_id), 1, 8) AS BIGINT) % 100 < 80)
 SELECT CAST(epoch AS INTEGER) AS epoch, rows_trained, CAST({DIM} AS BIGINT) AS dims
 FROM kept CROSS JOIN (SELECT unnest([1, 2]) AS epoch)
+""",
+    "train_resumed": f"""
+WITH kept AS (
+  SELECT count(*) AS n FROM events
+  WHERE event_id >= {WINDOW}
+    AND CAST('0x' || substr(md5('split:' || event_id), 1, 8) AS BIGINT) % 100 < 80)
+SELECT CAST(epoch AS INTEGER) AS epoch, n AS rows_whole, n AS rows_cut, CAST(0 AS DOUBLE) AS largest_gap,
+       CAST(2 AS BIGINT) AS runs, CAST(4 * 4 * ({DIM} + 4 + 1) + 4 * {DIM} + {DIM} AS BIGINT) AS parameters,
+       CAST(1 AS INTEGER) AS epochs_before
+FROM kept CROSS JOIN (SELECT unnest([1, 2]) AS epoch)
 """,
     "average_parameters": f"""
 WITH cells AS (

@@ -4,6 +4,7 @@ import pathlib
 import shutil
 import tempfile
 from collections.abc import Callable
+from dataclasses import replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,10 +20,12 @@ from seqloom.operators.predict import predict
 from seqloom.operators.split import split_label
 from seqloom.operators.train import average, round_of
 from seqloom.operators.windows import sliding_window, sliding_window_by_key, window_rows
+from seqloom.plans.prepare import prepare_examples
 from seqloom.plans.run import prepare_and_train
-from seqloom.plans.train import RunTables, parameter_table
+from seqloom.plans.train import RunTables, parameter_table, train
 from seqloom.sources import embeddings as emb_source
 from seqloom.sources import examples as stored
+from seqloom.sources import published, rejects
 from seqloom.sources import tokens as token_source
 from seqloom.storage import new_folder
 
@@ -216,6 +219,41 @@ def scan_embeddings_csv_bad_ids(spark, sf_dir):
     return found.select("token_id", *spread("v", "vec"))
 
 
+def rejected_embedding_rows(spark, sf_dir):
+    """Files in which every fifth id is no number, every seventh is missing and every third row comes twice: what is left out and why."""
+    rows = embedding(spark, sf_dir)
+    key = F.col("token_id").cast("string")
+    bad = F.when(F.col("token_id") % 7 == 0, F.lit(None)).when(F.col("token_id") % 5 == 0, F.concat(F.lit("x"), key)).otherwise(key)
+    times = F.when(F.col("token_id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = rows.select("token_id", F.explode(times).alias("copy"), bad.alias("tokenId"), (F.col("token_id") % 10).alias("embedding1"))
+    rows = rows.repartitionByRange("token_id").sortWithinPartitions("token_id", "copy")
+    path = new_folder(spark, "embeddings_csv")
+    rows.select("tokenId", "embedding1").write.csv(path, header=True)
+    found = rejects.scan_embeddings_csv(spark, path, 1)
+    return found.rejected.select("raw", "reason", F.lit(found.kept.count()).cast("bigint").alias("kept"))
+
+
+def rejected_token_lists(spark, sf_dir):
+    """Token lists of events: the lines that give no ids although they hold text, and how many ids the others give."""
+    path = new_folder(spark, "token_lists")
+    rows = table(spark, sf_dir, "events").select("event_id", id_list_text().alias("tokens")).where("tokens is not null")
+    rows = rows.repartitionByRange("event_id").sortWithinPartitions("event_id")
+    rows.select("tokens").write.csv(path, header=True, quoteAll=True)
+    found = rejects.scan_token_lists(spark, path, "csv")
+    kept = found.kept.agg(F.count("*").alias("ids"), (F.max("idx") + 1).alias("numbered")).first()
+    return found.rejected.select("raw", "reason", *(F.lit(kept[c]).cast("bigint").alias(c) for c in ("ids", "numbered")))
+
+
+def rejected_examples(spark, sf_dir):
+    """Examples whose target cannot be learned, and why."""
+    rows = examples.training_examples(
+        sparse_stream(spark, sf_dir), messy_embedding(spark, sf_dir), WINDOW, DIM, order_by=["copy"]
+    )
+    kept, rejected = rejects.split_examples(rows, WINDOW, DIM)
+    kept = kept.select("example_id", F.lit("kept").alias("reason"))
+    return rejected.unionByName(kept)
+
+
 def pack_vector(spark, sf_dir):
     parts = table(spark, sf_dir, "part")
     packed = parts.select("p_partkey", vec.pack_vector("p_size", "p_retailprice").alias("vec"))
@@ -229,6 +267,24 @@ def stored_windows(spark, sf_dir):
     return rows.select(*window_columns([F.col("example_id")]))
 
 
+def published_windows(spark, sf_dir):
+    """Windows read through their manifest: the second version, which a third that fails half-way leaves readable."""
+    path = new_folder(spark, "windows")
+    windows = window_rows(sliding_window(stream(spark, sf_dir), WINDOW))
+    stored.write_windows(windows.where("example_id % 2 = 0"), path)
+    stored.write_windows(windows, path)
+    broken = F.when(F.col("example_id") % 1000 == 999, F.raise_error(F.lit("stopped"))).otherwise(F.col("target_token"))
+    try:
+        stored.write_windows(windows.withColumn("target_token", broken.cast("int")), path)
+    except Exception as failure:
+        if "stopped" not in str(failure):
+            raise
+    last = published.versions(spark, path)[-1]
+    rows = stored.scan_windows(spark, path)
+    keys = [F.col("example_id"), F.lit(last.number).cast("bigint").alias("version"), F.lit(last.rows).cast("bigint").alias("n_rows")]
+    return rows.select(*window_columns(keys))
+
+
 def examples_text(spark, sf_dir):
     """Examples written as JSON lines and read back."""
     path = new_folder(spark, "examples_text")
@@ -321,6 +377,45 @@ def embed_windows_large(spark, sf_dir):
     return rows.select("example_id", "step", *spread("x", "row"))
 
 
+def embed_windows_gaps_large(spark, sf_dir):
+    """Stored windows of which some are missing, over a table taken as too large to broadcast."""
+    windows = window_rows(sliding_window(sparse_stream(spark, sf_dir), WINDOW))
+    windows = windows.where("example_id % 10 not in (3, 4) and example_id % 97 > 6")
+    rows = by_step(examples.embed_windows(windows, embedding(spark, sf_dir), WINDOW, DIM, limit=0))
+    return rows.select("example_id", "step", *spread("x", "row"))
+
+
+def step_targets(spark, sf_dir):
+    """Examples with a target for each step: the vector of the token that follows it."""
+    rows = training_set(spark, sf_dir, step_targets=True)
+    rows = rows.select("example_id", F.posexplode("y").alias("step", "row"))
+    return rows.select("example_id", "step", *spread("y", "row"))
+
+
+def step_target_series_large(spark, sf_dir):
+    """The same as one series per dimension, stored and read back; the table is taken as too large to broadcast."""
+    path = new_folder(spark, "step_examples")
+    rows = training_set(spark, sf_dir, step_targets=True, limit=0)
+    stored.write_examples(examples.keep_complete(rows, WINDOW, DIM, step_targets=True), path)
+    rows = stored.scan_examples(spark, path, step_targets=True)
+    series = vec.target_series(F.col("y"), WINDOW, DIM, by_step=True)
+    rows = rows.select("example_id", F.posexplode(series).alias("dim", "steps"))
+    return rows.select("example_id", "dim", *spread("t", "steps", WINDOW))
+
+
+def prepare_counts(spark, sf_dir):
+    """What the preparation counts of its inputs and examples while it works, one row per figure."""
+    settings = Settings(embedding_dim=DIM, window_size=WINDOW)
+    path = new_folder(spark, "prepared")
+    counts = prepare_examples(
+        sparse_stream(spark, sf_dir), messy_embedding(spark, sf_dir), settings, path, order_by=["copy"]
+    )
+    found = [(group, item, int(n)) for group, items in counts.items() for item, n in items.items()]
+    stored_rows = stored.scan_examples(spark, path).groupBy("split").count()
+    stored_rows = stored_rows.select(F.lit("stored").alias("part"), F.col("split").alias("item"), F.col("count").alias("n"))
+    return spark.createDataFrame(found, "part string, item string, n bigint").unionByName(stored_rows)
+
+
 def messy_embedding(spark, sf_dir) -> DataFrame:
     """Repeated ids (the last copy wins), vectors that are missing and vectors of another length."""
     vector = (
@@ -603,6 +698,29 @@ def train_metrics(spark, sf_dir):
     return trained.join(scored, "epoch")
 
 
+def train_resumed(spark, sf_dir):
+    """One run of two epochs, and one that stops after the first and is resumed: rows per epoch, and how far their parameters are apart."""
+    ship_package(spark)
+    root = new_folder(spark, "resume")
+    settings = Settings(embedding_dim=DIM, window_size=WINDOW, hidden_size=4, epochs=2, batch_size=64)
+    tokens, vectors = stream(spark, sf_dir), embedding(spark, sf_dir)
+    tables = prepare_and_train(tokens, vectors, settings, root, "whole")
+    rows = stored.scan_examples(spark, f"{root}/examples")
+    train(rows, replace(settings, epochs=1), root, "cut")
+    # what a run that is cut short in its second epoch leaves behind
+    half = F.col("run_id") == "cut"
+    for name, known, below in (("workers", tables.iterations(spark), "/round=0"), ("params", tables.params(spark), "")):
+        known.filter(half).drop("run_id", "epoch", "round").limit(3).write.parquet(f"{root}/{name}/run_id=cut/epoch=2{below}")
+    seen = tables.iterations(spark).filter(half).agg(F.max("epoch")).first()[0]
+    train(rows, settings, root, "cut", resume=True)
+    trained = tables.iterations(spark).groupBy("epoch", "run_id").agg(F.sum("n").alias("n"))
+    trained = trained.groupBy("epoch").agg(*(F.max(F.when(F.col("run_id") == r, F.col("n"))).alias(f"rows_{r}") for r in ("whole", "cut")))
+    params = tables.params(spark).groupBy("epoch", "layer", "name", "param_idx")
+    gap = params.agg((F.max("value") - F.min("value")).cast("double").alias("gap"), F.count("*").alias("runs"))
+    gap = gap.groupBy("epoch").agg(F.max("gap").alias("largest_gap"), F.min("runs").alias("runs"), F.count("*").alias("parameters"))
+    return trained.join(gap, "epoch").withColumn("epochs_before", F.lit(seen).cast("int"))
+
+
 def worker_outputs(spark, sf_dir) -> DataFrame:
     """Every vector as the parameters that a worker returns, a label as its number of rows."""
     return table(spark, sf_dir, "embeddings").select(
@@ -693,8 +811,12 @@ QUERIES: dict[str, Query] = {
         scan_token_lists_text,
         scan_embeddings_csv,
         scan_embeddings_csv_bad_ids,
+        rejected_embedding_rows,
+        rejected_token_lists,
+        rejected_examples,
         pack_vector,
         stored_windows,
+        published_windows,
         examples_text,
         dedupe_by_key_last,
         lookup_embedding,
@@ -705,6 +827,10 @@ QUERIES: dict[str, Query] = {
         input_matrix_large,
         embed_windows,
         embed_windows_large,
+        embed_windows_gaps_large,
+        step_targets,
+        step_target_series_large,
+        prepare_counts,
         input_matrix_messy,
         input_matrix_messy_large,
         input_matrix_messy_wide,
@@ -732,6 +858,7 @@ QUERIES: dict[str, Query] = {
         layer_info,
         predict_untrained,
         train_metrics,
+        train_resumed,
         average_parameters,
         round_plan,
         stored_model,

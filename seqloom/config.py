@@ -14,6 +14,10 @@ class Settings:
     ``averaging_frequency`` is the number of mini-batches a worker takes
     between two parameter averages. ``None`` averages once per epoch, which is
     the setting for large data: a round is one Spark job.
+
+    ``workers`` train side by side; by default one for each scan partition of the
+    examples, at most ``most_workers``. So what an average adds up is bounded by a
+    setting and follows neither the table nor the executors that happen to be there.
     """
 
     # Default sizes and seed of a run.
@@ -25,6 +29,7 @@ class Settings:
     train_percent: int = 80
     averaging_frequency: int | None = None
     workers: int | None = None
+    most_workers: int = 4096
     weighted_average: bool = False
     learning_rate: float = 1e-3
     seed: int = 12345
@@ -40,3 +45,5 @@ class Settings:
             raise ValueError("averaging_frequency must be at least 1 or None")
         if self.workers is not None and not 1 <= self.workers < MOST_WORKERS:
             raise ValueError(f"workers must be at least 1 and below {MOST_WORKERS}, or None")
+        if not 1 <= self.most_workers < MOST_WORKERS:
+            raise ValueError(f"most_workers must be at least 1 and below {MOST_WORKERS}")

@@ -56,13 +56,20 @@ def to_time_series(matrix: Column, dim: int) -> Column:
 
 
 def tile_target(vec: Column, steps: int) -> Column:
-    """The same target at every step.
-
-    A target that has a vector for each step already is only transposed, by :func:`to_time_series`.
-    """
+    """The same target at every step."""
     return F.array_repeat(vec, steps)
 
 
+def step_targets(inputs: Column, target: Column) -> Column:
+    """A target for each step of a window: the element that follows it, and at the last step the window's own."""
+    return F.concat(F.slice(inputs, F.lit(2), F.greatest(F.size(inputs) - 1, F.lit(0))), F.array(target))
+
+
+def target_series(target: Column, steps: int, dim: int, by_step: bool = False) -> Column:
+    """Targets as ``[D, T]``: one vector for every step, or, with ``by_step``, the rows of a ``[T, D]`` matrix."""
+    return to_time_series(target if by_step else tile_target(target, steps), dim)
+
+
 def l2_norm(vec: Column) -> Column:
     square_sum = F.aggregate(
         vec, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")

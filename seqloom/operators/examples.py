@@ -3,14 +3,14 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.functions.vectors import position_code, vector_add, zeros
+from seqloom.functions.vectors import position_code, step_targets, vector_add, zeros
 from seqloom.operators.lookup import (
     BROADCAST_BYTES,
     fits_broadcast,
     lookup_embedding,
     one_vector_per_id,
 )
-from seqloom.operators.windows import BLOCK_ROWS, sliding_window, window_rows
+from seqloom.operators.windows import BLOCK_ROWS, sliding_window, stream_of_windows, window_rows
 
 # One broadcast join per window position up to this width; beyond it vectors travel with the rows.
 MAX_JOINS = 16
@@ -28,11 +28,16 @@ def input_matrix(vectors: Column, size: int, dim: int) -> Column:
     return F.zip_with(vectors, codes, lambda vec, code: vector_add(vec, code, dim))
 
 
-def keep_complete(examples: DataFrame, size: int, dim: int | None = None) -> DataFrame:
-    """Drop examples with a missing side or a matrix of the wrong height."""
+def keep_complete(
+    examples: DataFrame, size: int, dim: int | None = None, step_targets: bool = False
+) -> DataFrame:
+    """Drop examples with a missing side or a matrix of the wrong height; of either side with ``step_targets``."""
     whole = F.col("x").isNotNull() & F.col("y").isNotNull() & (F.size("x") == size)
+    if step_targets:
+        whole = whole & (F.size("y") == size)
     if dim is not None:
-        whole = whole & (F.size("y") == dim) & F.forall("x", lambda row: F.size(row) == dim)
+        target = F.forall("y", lambda row: F.size(row) == dim) if step_targets else F.size("y") == dim
+        whole = whole & target & F.forall("x", lambda row: F.size(row) == dim)
     return examples.filter(whole)
 
 
@@ -43,6 +48,8 @@ def embed_windows(
     dim: int,
     limit: int = BROADCAST_BYTES,
     order_by: list[str] | None = None,
+    step_targets: bool = False,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``(example_id, x, y)`` from stored windows.
 
@@ -52,43 +59,50 @@ def embed_windows(
     Vector plus encoding depends only on (token, place), so it is computed once
     per embedding row and place instead of once per example: with a broadcast
     table every window place is one map-side probe and the windows never move.
+    A larger table meets the stream that the windows were cut from: a token is
+    looked up once, not once for each window that holds it, and vectors move once.
     """
     embeddings = one_vector_per_id(embeddings, dim, order_by)
     if size <= MAX_JOINS and fits_broadcast(embeddings, dim, size + 1, limit):
-        return _probe_windows(windows, embeddings, size, dim)
-    slots = windows.select(
-        F.col("example_id"),
-        F.posexplode(F.concat("input_tokens", F.array("target_token"))).alias("_place", "_id"),
-    )
-    found = lookup_embedding(slots, embeddings, dim, token="_id", limit=limit)
-    whole = found.groupBy("example_id").agg(
-        F.sort_array(F.collect_list(F.struct("_place", "vec"))).alias("_slots")
-    )
-    vectors = F.col("_slots.vec")
-    return whole.select(
-        "example_id",
-        input_matrix(F.slice(vectors, 1, size), size, dim).alias("x"),
-        vectors[size].alias("y"),
+        return _probe_windows(windows, embeddings, size, dim, step_targets)
+    stream = stream_of_windows(windows, size)
+    found = lookup_embedding(stream, embeddings, dim, limit=limit).select("idx", "vec", "full")
+    return _cut_vectors(found, size, dim, "idx", step_targets, block_rows, only="full")
+
+
+def _cut_vectors(
+    rows: DataFrame, size: int, dim: int, idx: str, by_step: bool, block_rows: int, **options
+) -> DataFrame:
+    """Examples from a stream of vectors."""
+    rows = sliding_window(
+        rows, size, idx, value="vec", inputs="_vectors", target="_y", block_rows=block_rows, **options
     )
+    y = step_targets(F.col("_vectors"), F.col("_y")) if by_step else F.col("_y")
+    matrix = input_matrix(F.col("_vectors"), size, dim)
+    return rows.select(F.col(idx).alias("example_id"), matrix.alias("x"), y.alias("y"))
 
 
-def _probe_windows(windows: DataFrame, embeddings: DataFrame, size: int, dim: int) -> DataFrame:
+def _probe_windows(
+    windows: DataFrame, embeddings: DataFrame, size: int, dim: int, by_step: bool = False
+) -> DataFrame:
     rows = windows
-    matrix = []
+    matrix, plain = [], []
     for p in range(size):
         code = position_code(p, dim)
-        table = embeddings.select(
-            F.col("token_id").alias(f"_t{p}"),
-            vector_add(F.col("vec"), code, dim).alias(f"_v{p}"),
-        )
+        coded = vector_add(F.col("vec"), code, dim).alias(f"_v{p}")
+        # the vector itself is the target of the step before
+        own = [F.col("vec").alias(f"_r{p}")] if by_step and p else []
+        table = embeddings.select(F.col("token_id").alias(f"_t{p}"), coded, *own)
         rows = rows.join(
             F.broadcast(table), F.col("input_tokens")[p] == F.col(f"_t{p}"), "left"
         ).drop(f"_t{p}")
         matrix.append(F.coalesce(f"_v{p}", code))
+        plain += [F.coalesce(f"_r{p}", zeros(dim)) for _ in own]
     table = embeddings.select(F.col("token_id").alias("_t"), F.col("vec").alias("_y"))
     rows = rows.join(F.broadcast(table), F.col("target_token") == F.col("_t"), "left")
+    y = F.coalesce("_y", zeros(dim))
     return rows.select(
-        "example_id", F.array(*matrix).alias("x"), F.coalesce("_y", zeros(dim)).alias("y")
+        "example_id", F.array(*matrix).alias("x"), (F.array(*plain, y) if by_step else y).alias("y")
     )
 
 
@@ -111,34 +125,28 @@ def training_examples(
     limit: int = BROADCAST_BYTES,
     block_rows: int = BLOCK_ROWS,
     order_by: list[str] | None = None,
+    unique: bool = False,
+    step_targets: bool = False,
 ) -> DataFrame:
     """``(example_id, x, y)`` from a numbered token stream.
 
+    ``y`` is the vector of the window's own token; with ``step_targets`` it is a
+    matrix that holds for each step the vector of the token that follows it.
+
     The table is made one row per id first (see :func:`one_vector_per_id`), so
     every plan below gives the same examples. With a broadcast table only ids
     are shuffled: narrow windows probe it for each place, wide ones once per row
     that has reached its block. Otherwise each token's vector is looked up once
     and windows are built over vectors.
     """
-    embeddings = one_vector_per_id(embeddings, dim, order_by)
+    embeddings = one_vector_per_id(embeddings, dim, order_by, unique)
     rows = tokens.select(idx, "token_id")
     if size <= MAX_JOINS and fits_broadcast(embeddings, dim, size + 1, limit):
         windows = window_rows(sliding_window(rows, size, idx, block_rows=block_rows), idx)
-        return _probe_windows(windows, embeddings, size, dim)
+        return _probe_windows(windows, embeddings, size, dim, step_targets)
     attach = None
     if fits_broadcast(embeddings, dim, limit=limit):
         attach = _probe_in_blocks(embeddings, dim)
     else:
         rows = lookup_embedding(rows, embeddings, dim, limit=limit).select(idx, "vec")
-    rows = sliding_window(
-        rows,
-        size,
-        idx,
-        value="vec",
-        inputs="_vectors",
-        target="y",
-        block_rows=block_rows,
-        attach=attach,
-    )
-    matrix = input_matrix(F.col("_vectors"), size, dim)
-    return rows.select(F.col(idx).alias("example_id"), matrix.alias("x"), "y")
+    return _cut_vectors(rows, size, dim, idx, step_targets, block_rows, attach=attach)

@@ -25,17 +25,17 @@ def dedupe_last(embeddings: DataFrame, order_by: list[str]) -> DataFrame:
 
 
 def one_vector_per_id(
-    embeddings: DataFrame, dim: int, order_by: list[str] | None = None
+    embeddings: DataFrame, dim: int, order_by: list[str] | None = None, unique: bool = False
 ) -> DataFrame:
     """The table that every plan sees: one row per id, zeros for a missing vector, no NULL id.
 
     With ``order_by`` the last row of an id wins. Without an order no row of a repeated id can be
-    preferred, so one raises.
+    preferred, so one raises; ``unique`` says that the caller has counted none.
     """
     known = embeddings.filter("token_id is not null")
     if order_by:
         known = dedupe_last(known, order_by)
-    else:
+    elif not unique:
         repeated = known.agg(F.count("*") - F.count_distinct("token_id")).first()[0]
         if repeated:
             raise ValueError(f"{repeated} repeated embedding ids and no order to choose by")

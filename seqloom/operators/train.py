@@ -6,11 +6,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.config import MOST_WORKERS, Settings
+from seqloom.config import Settings
 from seqloom.functions import lstm
 from seqloom.functions.text import hash_bucket
 from seqloom.operators.predict import matrices, vectors
@@ -119,36 +120,84 @@ class Workers(NamedTuple):
     deal: bool
 
     def of(self, examples: DataFrame) -> DataFrame:
-        """``examples`` in one partition per worker; without a shuffle unless there are too few."""
+        """``examples`` in one partition per worker; without a shuffle unless there are too few.
+
+        Rows that were dealt are sorted, so that a worker sees the same rows in the same order every time.
+        """
         if self.deal:
-            return examples.repartition(self.count, "example_id")
+            return examples.repartition(self.count, "example_id").sortWithinPartitions("example_id")
         return examples.coalesce(self.count)
 
 
 def plan_workers(examples: DataFrame, settings: Settings) -> Workers:
-    """By default one worker for every scan partition of the stored table that holds rows.
+    """By default one worker for every scan partition of the stored table that holds rows, at most ``most_workers``.
 
     So the number follows the table and not the executors that happen to be there when it starts.
     """
     found = examples.select(F.spark_partition_id().alias("part")).distinct().count()
-    count = settings.workers or min(max(found, 1), MOST_WORKERS - 1)
+    count = settings.workers or min(max(found, 1), settings.most_workers)
     return Workers(count, found < count)
 
 
-def average(outputs: DataFrame, weighted: bool = False) -> DataFrame:
-    """``(pos, params, m, v, step)``: the mean over workers of each parameter and moment."""
-    trained = outputs.filter(F.col("params").isNotNull()).select(
-        "n", "iteration", F.posexplode(F.arrays_zip("params", "m", "v")).alias("pos", "cell")
-    )
+# Sums over workers of one vector each: total weight and, in doubles, weighted vectors.
+_SUMS = "weight double, step bigint, params array<double>, m array<double>, v array<double>"
+_VECTORS = ("params", "m", "v")
 
-    def mean(name):
-        value = F.col(f"cell.{name}").cast("double")
-        total = F.sum(value * F.col("n")) / F.sum("n") if weighted else F.avg(value)
-        return total.cast("float").alias(name)
+#: Partial sums that one task adds up.
+FAN = 32
+
+
+def _sum_vectors(batches):
+    """One row per task, whatever the number of workers it has read."""
+    weight, step, sums = 0.0, 0, None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        weights = batch.column("weight").to_numpy(zero_copy_only=False)
+        found = []
+        for name in _VECTORS:
+            column = batch.column(name)
+            values = column.flatten().to_numpy(zero_copy_only=False).astype(float)
+            if len(values) % len(column) or (sums and len(values) // len(column) != len(sums[0])):
+                raise ValueError("workers return vectors of different lengths")
+            found.append(values.reshape(len(column), -1).sum(axis=0))
+        weight, step = weight + weights.sum(), max(step, pc.max(batch.column("step")).as_py())
+        sums = found if sums is None else [a + b for a, b in zip(sums, found, strict=True)]
+    if sums is not None:
+        yield pa.RecordBatch.from_pydict(
+            {"weight": [weight], "step": [step], **{name: [s] for name, s in zip(_VECTORS, sums, strict=True)}},
+            schema=_SUMS_ARROW,
+        )
+
+
+_SUMS_ARROW = pa.schema(
+    [("weight", pa.float64()), ("step", pa.int64()), *((name, pa.list_(pa.float64())) for name in _VECTORS)]
+)
 
-    return trained.groupBy("pos").agg(
-        mean("params"), mean("m"), mean("v"), F.max("iteration").alias("step")
+
+def sum_workers(outputs: DataFrame, weighted: bool = False) -> DataFrame:
+    """At most one row: the sum over workers of their vectors, each times its weight.
+
+    Tasks add up the workers they read, then FAN tasks' sums at a time meet in one, so that no task
+    holds more than some vectors and none is taken apart into cells.
+    """
+    factor = F.col("n").cast("double") if weighted else F.lit(1.0)
+    scaled = [F.transform(name, lambda x: x.cast("double") * factor).alias(name) for name in _VECTORS]
+    trained = outputs.filter(F.col("params").isNotNull())
+    sums = trained.select(factor.alias("weight"), F.col("iteration").alias("step"), *scaled)
+    sums = stage(sums.mapInArrow(_sum_vectors, _SUMS), "worker-sums")
+    while (count := sums.count()) > 1:
+        sums = stage(sums.repartition(-(-count // FAN)).mapInArrow(_sum_vectors, _SUMS), "worker-sums")
+    return sums
+
+
+def average(outputs: DataFrame, weighted: bool = False) -> DataFrame:
+    """``(pos, params, m, v, step)``: the mean over workers of each parameter and moment."""
+    cells = sum_workers(outputs, weighted).select(
+        "weight", "step", F.posexplode(F.arrays_zip(*_VECTORS)).alias("pos", "cell")
     )
+    means = [(F.col(f"cell.{name}") / F.col("weight")).cast("float").alias(name) for name in _VECTORS]
+    return cells.select("pos", *means, "step")
 
 
 def _collect_state(averaged: DataFrame) -> ModelState | None:
@@ -188,7 +237,9 @@ def plan_rounds(examples: DataFrame, settings: Settings, workers: int) -> Rounds
     key = F.col("example_id").cast("string")
     rows = examples.withColumn("round", round_of(F.col("example_id"), rounds))
     worker = hash_bucket(F.concat(F.lit("worker:"), key), workers)
-    rows = rows.withColumn("_worker", worker).repartition("round", "_worker").drop("_worker")
+    rows = rows.withColumn("_worker", worker).repartition("round", "_worker")
+    # in order, so that a run that is resumed deals the same batches
+    rows = rows.sortWithinPartitions("round", "_worker", "example_id").drop("_worker")
     return Rounds(stage(rows, "rounds", partition_by=("round",)), rounds)
 
 

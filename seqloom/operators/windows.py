@@ -30,6 +30,7 @@ def sliding_window(
     within: list[str] | None = None,
     block_rows: int = BLOCK_ROWS,
     attach: Callable[[DataFrame], DataFrame] | None = None,
+    only: str | None = None,
 ) -> DataFrame:
     """One row per full window: the ``size`` values before a row, and the row's own value.
 
@@ -43,6 +44,10 @@ def sliding_window(
 
     ``attach`` adds the value column to rows that have reached their block, by
     a join that does not move them, so that only narrow rows are shuffled.
+
+    ``only`` names a boolean column: rows where it is true get a window and need
+    the ``size`` rows before them; the others are context, and the stream may
+    have gaps and begin anywhere.
     """
     if size < 1:
         raise ValueError("a window holds at least one row")
@@ -58,18 +63,17 @@ def sliding_window(
     if attach is not None:
         rows = attach(rows)
     windows = _by_offsets if size <= MAX_OFFSETS else _by_slices
-    keep = [c for c in tokens.columns if c not in (idx, value)]
-    return windows(rows, size, idx, value, inputs, within or [], block_rows).select(
+    keep = [c for c in tokens.columns if c not in (idx, value, only)]
+    return windows(rows, size, idx, value, inputs, within or [], block_rows, only).select(
         idx, *keep, inputs, F.col(value).alias(target)
     )
 
 
-def _gap(idx: str) -> Column:
-    message = f"{idx} does not number the stream without gaps"
-    return F.raise_error(F.lit(message)).cast("boolean")
+def _gap() -> Column:
+    return F.raise_error(F.lit("the stream is not numbered without gaps")).cast("boolean")
 
 
-def _by_offsets(rows, size, idx, value, inputs, within, block_rows):
+def _by_offsets(rows, size, idx, value, inputs, within, block_rows, only):
     spec = W.partitionBy("_block").orderBy(idx)
     first = F.lag(idx, size).over(spec)
     rows = rows.withColumn("_first", first).withColumn(
@@ -77,27 +81,38 @@ def _by_offsets(rows, size, idx, value, inputs, within, block_rows):
     )
     same = [F.lag(key, size).over(spec).eqNullSafe(F.col(key)) for key in within]
     rows = rows.withColumns({f"_same{n}": check for n, check in enumerate(same)})
-    full = (F.expr(f"{idx} div {block_rows}") == F.col("_block")) & (F.col(idx) >= size)
-    whole = F.coalesce(F.col("_first") == F.col(idx) - size, F.lit(False))
-    rows = rows.filter(F.when(full, F.when(whole, F.lit(True)).otherwise(_gap(idx))))
+    # the number under another name: a later condition on it must not be put into the check
+    rows = rows.withColumn("_at", F.lag(idx, 0).over(spec))
+    wanted = F.col(only) if only else F.col("_at") >= size
+    full = (F.expr(f"_at div {block_rows}") == F.col("_block")) & wanted
+    whole = F.coalesce(F.col("_first") == F.col("_at") - size, F.lit(False))
+    rows = rows.filter(F.when(full, F.when(whole, F.lit(True)).otherwise(_gap())))
     for n, _ in enumerate(same):
         rows = rows.filter(f"_same{n}")
     return rows
 
 
-def _by_slices(rows, size, idx, value, inputs, within, block_rows):
+def _by_slices(rows, size, idx, value, inputs, within, block_rows, only):
     columns = [c for c in rows.columns if c not in ("_block", idx)]
     blocks = rows.groupBy("_block").agg(
         F.sort_array(F.collect_list(F.struct(idx, *columns))).alias("_rows")
     )
     # One array per column: taken from the block once, not once per window.
     blocks = blocks.select("_block", *[F.col(f"_rows.{c}").alias(c) for c in (idx, *columns)])
-    first = F.greatest(F.lit(0), F.col("_block") * block_rows - size)
-    whole = F.col(idx) == F.sequence(first, first + F.size(idx) - 1)
-    blocks = blocks.filter(F.when(whole, F.size(idx) > size).otherwise(_gap(idx)))
-    places = F.sequence(F.lit(size), F.size(idx) - 1)
-    windows = blocks.select(idx, *columns, F.explode(places).alias("_at"))
     at = F.col("_at")
+    if only:
+        windows = blocks.select("_block", idx, *columns, F.posexplode(only).alias("_at", "_wanted"))
+        here = F.expr(f"{idx}[_at] div {block_rows} = _block")
+        windows = windows.filter(F.col("_wanted") & here)
+        before = F.get(idx, at - size)
+        whole = F.coalesce(before == F.col(idx)[at] - size, F.lit(False))
+        windows = windows.filter(F.when(whole, F.lit(True)).otherwise(_gap()))
+    else:
+        first = F.greatest(F.lit(0), F.col("_block") * block_rows - size)
+        whole = F.col(idx) == F.sequence(first, first + F.size(idx) - 1)
+        blocks = blocks.filter(F.when(whole, F.size(idx) > size).otherwise(_gap()))
+        places = F.sequence(F.lit(size), F.size(idx) - 1)
+        windows = blocks.select(idx, *columns, F.explode(places).alias("_at"))
     for key in within:
         windows = windows.filter(F.col(key)[at].eqNullSafe(F.col(key)[at - size]))
     return windows.select(
@@ -156,6 +171,32 @@ def sliding_window_by_key(
     return plain(cold_rows).unionByName(blocked(hot_rows_only))
 
 
+def stream_of_windows(windows: DataFrame, size: int) -> DataFrame:
+    """``(idx, token_id, full)``: the stream that stored windows were cut from.
+
+    The target of window ``i`` is token ``i``, so only the first window of each run of consecutive ids
+    has to give its inputs, too: rows that are not ``full`` and have no window of their own. Windows of
+    one run, the usual case, are told by their number and two ends, and nothing is shuffled; with gaps,
+    the ids alone are, to find the runs.
+    """
+    inner = windows.select(F.col("example_id").alias("idx"), F.col("target_token").alias("token_id"), F.lit(True).alias("full"))
+    low, high, count = windows.agg(F.min("example_id"), F.max("example_id"), F.count("*")).first()
+    if not count:
+        return inner
+    if high - low + 1 == count:
+        firsts = windows.filter(F.col("example_id") == low)
+    else:
+        after = windows.select((F.col("example_id") + 1).alias("example_id"))
+        firsts = windows.join(after, "example_id", "left_anti")
+    heads = firsts.select("example_id", F.posexplode("input_tokens").alias("_place", "token_id"))
+    heads = heads.select((F.col("example_id") - size + F.col("_place")).alias("idx"), "token_id", F.lit(False).alias("full"))
+    rows = inner.unionByName(heads)
+    if high - low + 1 == count:
+        return rows
+    # inputs of one run may be windows of the run before
+    return rows.groupBy("idx").agg(F.max("token_id").alias("token_id"), F.bool_or("full").alias("full"))
+
+
 def window_rows(windows: DataFrame, idx: str = "idx") -> DataFrame:
     """The compact stored form of windows."""
     return windows.select(F.col(idx).alias("example_id"), "input_tokens", "target_token")

@@ -1,6 +1,8 @@
 """Train and score a next-vector model on stored examples; everything it learns is a table."""
 
+import dataclasses
 import datetime
+import json
 import math
 import re
 from dataclasses import dataclass
@@ -16,6 +18,7 @@ from seqloom.operators.evaluate import macro_average, regression_eval
 from seqloom.operators.predict import predict
 from seqloom.operators.split import train_valid_split
 from seqloom.operators.train import ModelState, plan_rounds, plan_workers, train_epoch
+from seqloom.sources.published import exists, remove, write_small_file
 
 ITERATIONS = (
     "worker int, iteration bigint, ts timestamp, n bigint, loss double, learning_rate double, "
@@ -32,6 +35,17 @@ SCORES = (
 )
 EPOCHS = "start_ts timestamp, end_ts timestamp, run_id string, epoch int"
 SETTINGS = "batch_size int, hidden_size int, run_id string"
+# One file per run and complete epoch; epoch 0 is the start of the run and holds its settings.
+PROGRESS = "epoch int, workers int, knobs string, run_id string"
+
+
+def _names(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(",")]
+
+
+def _knobs(settings: Settings) -> dict:
+    """What a resumed run must share with the one it goes on from: all but the number of epochs."""
+    return {k: v for k, v in dataclasses.asdict(settings).items() if k != "epochs"}
 
 
 @dataclass(frozen=True)
@@ -40,19 +54,51 @@ class RunTables:
 
     root: str
 
+    def _complete(self, spark: SparkSession, rows: DataFrame) -> DataFrame:
+        """``rows`` of epochs whose every table is written; the last thing an epoch writes says so.
+
+        Tables that no run of :func:`train` has started are taken as they are.
+        """
+        done = self.progress(spark)
+        if done is None:
+            return rows
+        return rows.join(done.select("run_id", "epoch"), ["run_id", "epoch"], "left_semi")
+
+    def progress(self, spark: SparkSession) -> DataFrame | None:
+        """Starts and complete epochs of all runs: a row of a few numbers for each."""
+        if not exists(spark, f"{self.root}/progress"):
+            return None
+        return spark.read.schema(PROGRESS).json(f"{self.root}/progress")
+
+    def begin(self, spark: SparkSession, run_id: str, settings: Settings, workers: int) -> None:
+        """Forget what a run of that name has done and note with which settings it starts."""
+        remove(spark, f"{self.root}/progress/run_id={run_id}")
+        self._note(spark, run_id, 0, workers, json.dumps(_knobs(settings), sort_keys=True))
+
+    def finish_epoch(self, spark: SparkSession, run_id: str, epoch: int, workers: int) -> None:
+        self._note(spark, run_id, epoch, workers, "")
+
+    def _note(self, spark, run_id, epoch, workers, knobs) -> None:
+        entry = json.dumps({"epoch": epoch, "workers": workers, "knobs": knobs})
+        if not write_small_file(spark, f"{self.root}/progress/run_id={run_id}/{epoch:06d}.json", entry):
+            raise RuntimeError(f"another job trains run {run_id} at {self.root}")
+
     def iterations(self, spark: SparkSession) -> DataFrame:
-        rows = spark.read.schema(ITERATIONS).parquet(f"{self.root}/workers")
-        return rows.filter(F.col("ts").isNotNull())
+        rows = self._complete(spark, spark.read.schema(ITERATIONS).parquet(f"{self.root}/workers"))
+        return rows.filter(F.col("ts").isNotNull()).select(*_names(ITERATIONS))
 
     def params(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(PARAMS).parquet(f"{self.root}/params")
+        rows = spark.read.schema(PARAMS).parquet(f"{self.root}/params")
+        return self._complete(spark, rows).select(*_names(PARAMS))
 
     def scores(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(SCORES).parquet(f"{self.root}/scores")
+        rows = spark.read.schema(SCORES).parquet(f"{self.root}/scores")
+        return self._complete(spark, rows).select(*_names(SCORES))
 
     def epoch_spans(self, spark: SparkSession) -> DataFrame:
         """When each epoch's training began and ended."""
-        return spark.read.schema(EPOCHS).parquet(f"{self.root}/epochs")
+        rows = spark.read.schema(EPOCHS).parquet(f"{self.root}/epochs")
+        return self._complete(spark, rows).select(*_names(EPOCHS))
 
     def settings(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(SETTINGS).parquet(f"{self.root}/settings")
@@ -148,8 +194,25 @@ def load_model(
     return ModelState(*flat, table.column("step")[0].as_py())
 
 
+def last_epoch(spark: SparkSession, tables: RunTables, run_id: str, settings: Settings) -> tuple[int, int] | None:
+    """The last complete epoch of a run and its number of workers; None for a run that never started.
+
+    Raises when the run began with other settings: what it stored would not be a part of this run.
+    """
+    progress = tables.progress(spark)
+    notes = [] if progress is None else progress.filter(F.col("run_id") == run_id).collect()
+    if not notes:
+        return None
+    (start,) = (n for n in notes if n.epoch == 0)
+    was, now = json.loads(start.knobs), _knobs(settings)
+    other = sorted(k for k in now if was.get(k) != now[k])
+    if other:
+        raise ValueError(f"run {run_id} began with other settings: {', '.join(other)}")
+    return max(n.epoch for n in notes), start.workers
+
+
 def train(
-    examples: DataFrame, settings: Settings, root: str, run_id: str
+    examples: DataFrame, settings: Settings, root: str, run_id: str, resume: bool = False
 ) -> tuple[RunTables, ModelState]:
     """``epochs`` passes of parameter averaging over a *stored* example table.
 
@@ -157,12 +220,22 @@ def train(
 
     After each epoch the averaged parameters, the validation scores and the time
     that training took, first read to last average, are written below ``root``; worker metrics are written by the workers, the
-    run's report at the end.
+    run's report at the end. A note is written last of all: an epoch without one was cut short, and no
+    reader sees its rows.
+
+    With ``resume`` a run that was cut short goes on after its last complete epoch, from the stored
+    parameters, optimizer moments and step, and ends with the parameters that it would have had; a
+    finished run may go on to more ``epochs``. Without it a run of that name starts anew.
     """
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", run_id):
         raise ValueError(f"run id {run_id!r} is no folder name")
     spark = examples.sparkSession
     tables = RunTables(root)
+    before = last_epoch(spark, tables, run_id, settings) if resume else None
+    if before:
+        settings_now = dataclasses.replace(settings, workers=before[1])
+    else:
+        settings_now = settings
     parts = examples
     if "split" not in examples.columns:
         parts = train_valid_split(
@@ -170,13 +243,19 @@ def train(
         )
     training = parts.filter("split = 'train'").drop("split")
     validation = parts.filter("split = 'valid'").drop("split")
-    workers = plan_workers(training, settings)
-    rounds = plan_rounds(training, settings, workers.count)
-    spark.createDataFrame(
-        [(settings.batch_size, settings.hidden_size)], "batch_size int, hidden_size int"
-    ).coalesce(1).write.mode("overwrite").parquet(f"{root}/settings/run_id={run_id}")
-    state = ModelState.initial(settings)
-    for epoch in range(1, settings.epochs + 1):
+    workers = plan_workers(training, settings_now)
+    first, state = 1, ModelState.initial(settings)
+    if before:
+        first = before[0] + 1
+        if before[0]:
+            state = load_model(spark, tables, run_id, before[0], settings)
+    else:
+        tables.begin(spark, run_id, settings, workers.count)
+        spark.createDataFrame(
+            [(settings.batch_size, settings.hidden_size)], "batch_size int, hidden_size int"
+        ).coalesce(1).write.mode("overwrite").parquet(f"{root}/settings/run_id={run_id}")
+    rounds = plan_rounds(training, settings, workers.count) if first <= settings.epochs else None
+    for epoch in range(first, settings.epochs + 1):
         here = f"run_id={run_id}/epoch={epoch}"
         start = datetime.datetime.now(datetime.UTC)
         state, averaged = train_epoch(
@@ -195,5 +274,6 @@ def train(
         macro_average(regression_eval(predicted)).coalesce(1).write.mode("overwrite").parquet(
             f"{root}/scores/{here}"
         )
+        tables.finish_epoch(spark, run_id, epoch, workers.count)
     tables.write_stats(spark, run_id)
     return tables, state
