@@ -62,40 +62,46 @@ def fingerprints(
     The different terms of a text that stand in the lexicon ``words`` are sorted and hashed, first all
     of them, then those of each randomised lexicon. At level l, those hold a term the last l - 1 bits of
     whose r-th hash are zero and the bit before is zero, or is one; so level l + 1 lies within the first
-    of level l. A lexicon with no term of the text gives an empty hash. A text with terms but none in the band has the hash of all its terms alone; one without any
+    of level l. A lexicon with no term of the text gives an empty hash. A text with terms but none in the band has one hash of the set of all its terms; one without any
     term, null or empty, has an empty first hash, too.
 
     Rows that are already dealt by some of ``keys`` stay where they are, as the lexicon comes to them.
     """
     rows = texts.withColumn("_terms", terms(F.col(text_col)))
-    # the first row of a text stands for it: it holds what is carried, and no lexicon knows its term
-    carried = F.struct(F.xxhash64(F.sort_array("_terms")).alias("whole"), (F.size("_terms") > 0).alias("any"), *carry)
+    # an order-free hash of the whole set
+    whole = F.expr("aggregate(_terms, 0L, (h, t) -> h ^ xxhash64(t))")
+    # the first row of a text stands for it: it alone holds what is carried, and no lexicon knows its term
+    carried = F.struct(whole.alias("whole"), (F.size("_terms") > 0).alias("any"), *carry)
     salt = F.concat(F.lit(" "), F.pmod(F.xxhash64(*keys), F.lit(1024)).cast("string"))
-    rows = rows.select(*keys, carried.alias("_carried"), F.concat(F.array(salt), F.coalesce("_terms", F.array())).alias("_terms"))
-    rows = rows.select(*keys, "_carried", F.posexplode("_terms").alias("_pos", "term"))
-    rows = rows.select(*keys, F.expr("if(_pos = 0, _carried, null)").alias("_carried"), "_pos", "term")
-    rows = rows.join(_known(words, limit), "term", "left").where("_known or _pos = 0")
-    kept = F.sort_array(F.collect_list(F.expr("if(_pos > 0, term, null)"))).alias("_kept")
+    rows = rows.withColumn("_first", F.struct(salt.alias("term"), carried.alias("carried")))
+    others = F.expr("transform(coalesce(_terms, array()), t -> struct(t as term, if(false, _first.carried, null) as carried))")
+    rows = rows.select(*keys, F.explode(F.concat(F.array("_first"), others)).alias("_row"))
+    rows = rows.select(*keys, F.col("_row.term").alias("term"), F.col("_row.carried").alias("_carried"))
+    rows = rows.join(_known(words, limit), "term", "left").where("_known or _carried is not null")
+    kept = F.sort_array(F.collect_list(F.expr("if(_carried is null, term, null)"))).alias("_kept")
     rows = rows.groupBy(*keys).agg(kept, F.first("_carried", ignorenulls=True).alias("_carried"))
     return _hashed(rows, keys, carry)
 
 
 def _hashed(rows: DataFrame, keys: list[str], carry: tuple[str, ...]) -> DataFrame:
     """The hashes of ``_kept``; each step is a projection of its own, so that a level filters what the one above left."""
-    of = "lpad(lower(hex({})), {}, '0')"
-    whole = of.format("if(size(_kept) > 0, xxhash64(_kept), _carried.whole)", 16)
+    whole = "lpad(hex(if(size(_kept) > 0, xxhash64(_kept), _carried.whole)), 16, '0')"
     rows = rows.select(
         *keys,
         *(F.col(f"_carried.{c}").alias(c) for c in carry),
         F.expr(f"if(coalesce(_carried.any, false), {whole}, '')").alias("_prints"),
         *(F.expr(f"transform(_kept, t -> xxhash64({r}, t))").alias(f"_set{r}") for r in range(ORDERS)),
     )
+    # the last digits, under a leading one that keeps their zeros
+    room = 1 << 4 * DIGITS
     for level in range(LEVELS):
         halves = [F.expr(f"filter(_set{r}, h -> (h & {1 << level}) {half} 0)").alias(f"_{name}{r}") for name, half in _HALVES.items() for r in range(ORDERS)]
         rows = rows.select(*keys, *carry, "_prints", *halves)
-        shorts = [F.expr(f"if(size(_{name}{r}) > 0, right({of.format(f'xxhash64(_{name}{r})', 16)}, {DIGITS}), '')") for name in _HALVES for r in range(ORDERS)]
+        shorts = [
+            F.expr(f"if(size(_{name}{r}) > 0, substr(hex((xxhash64(_{name}{r}) & {room - 1}) + {room}), 2), '')") for name in _HALVES for r in range(ORDERS)
+        ]
         rows = rows.select(*keys, *carry, F.concat_ws(",", "_prints", *shorts).alias("_prints"), *(f"_set{r}" for r in range(ORDERS)))
-    return rows.select(*keys, *carry, F.col("_prints").alias("fingerprint"))
+    return rows.select(*keys, *carry, F.lower("_prints").alias("fingerprint"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -121,9 +127,12 @@ def match_next(docs: DataFrame, words: DataFrame, id_col: str = "doc_id", text_c
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
+    # a join of ids that may be null filters one of its sides, and texts would be dealt anew for the other
+    known = F.col(id_col).isNotNull().alias("known")
+    key = F.coalesce(F.col(id_col), F.lit(0).cast(docs.schema[id_col].dataType)).alias("id")
+    rows = docs.select(key, known, F.coalesce(text_col, F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
     first = F.min(F.struct(F.xxhash64("text").alias("hash"), "row"))["row"].alias("row")
-    ids = rows.where("id is not null").groupBy("id").agg(F.count("*").alias("copies"), first, F.max(F.length("text")).alias("longest"))
+    ids = rows.where("known").groupBy("id").agg(F.count("*").alias("copies"), first, F.max(F.length("text")).alias("longest"))
     numbered = stage(sequence_index(ids, ["id"]), "imatch-ids")
     count, total = numbered.agg(F.count("*"), F.coalesce(F.sum("copies"), F.lit(0))).first()
     salts = F.ceil(F.col("copies") * (HOT_SHARE * parts) / F.lit(max(total, 1))).cast("int").alias("salts")
@@ -131,13 +140,15 @@ def match_next(docs: DataFrame, words: DataFrame, id_col: str = "doc_id", text_c
     hot = stage(numbered.where((F.col("copies") > 1) & (F.col("copies") * (HOT_SHARE * parts) > total)).select("id", salts), "imatch-hot")
 
     def salted(side: DataFrame, row: str) -> DataFrame:
-        place = F.pmod(F.xxhash64(row), F.when(F.col("id").isNull(), F.lit(parts)).otherwise(F.coalesce("salts", F.lit(1)))).cast("int")
+        place = F.pmod(F.xxhash64(row), F.when(F.col("known"), F.coalesce("salts", F.lit(1))).otherwise(F.lit(parts)))
+        place = F.coalesce(F.when(F.col("known"), place).otherwise(-1 - place).cast("int"), F.lit(0))
         return side.join(F.broadcast(hot), "id", "left").withColumn("salt", place).drop("salts")
 
     before = numbered.select("idx", F.col("id").alias("previous"), "longest")
     after = numbered.select(F.pmod(F.col("idx") - 1, F.lit(max(count, 1))).alias("idx"), "id", F.col("row").alias("next_row"))
-    links = stage(salted(after.join(before, "idx"), "next_row").drop("idx"), "imatch-links")
-    rows = salted(rows, "row")
+    links = stage(salted(after.join(before, "idx").withColumn("known", F.lit(True)), "next_row").drop("idx", "known"), "imatch-links")
+    # rows without an id have negative salts, which no link has
+    rows = salted(rows, "row").drop("known")
     # no third key of the join, so that both joins deal texts alike and one exchange of them serves both
     here = (rows["id"] == links["id"]) & (rows["salt"] == links["salt"]) & (F.abs(rows["row"] - links["next_row"]) < 1)
     starts = rows.join(links, here).select(rows["id"], rows["salt"], "text", "previous", F.expr("substr(text, 1, longest div 2)").alias("start"))
@@ -165,7 +176,7 @@ def match_next(docs: DataFrame, words: DataFrame, id_col: str = "doc_id", text_c
     )
     own = F.col("fingerprint")
     return joined.select(
-        F.col("id").alias(id_col),
+        F.when(F.col("salt") >= 0, F.col("id")).alias(id_col),
         "n_chars",
         "edited_sha256",
         "fingerprint",

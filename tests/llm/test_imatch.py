@@ -41,10 +41,10 @@ def plain_print(text, lexicon):
     """The fingerprint by sets and Python hashes: the bit test of every lexicon on its own."""
     found = plain_terms(text)
     kept = sorted((t for t in found if t in lexicon), key=lambda t: t.encode())
-    if not found:
-        first = ""
-    else:
-        first = f"{hash_of(kept or sorted(found, key=lambda t: t.encode())):016x}"
+    whole = 0
+    for t in found:
+        whole ^= hash_of([t])
+    first = f"{hash_of(kept) if kept else whole:016x}" if found else ""
     hashes = [first]
     for level in range(imatch.LEVELS):
         for one in (0, 1):
