@@ -104,9 +104,10 @@ def predict(flat: np.ndarray, x: np.ndarray, hidden: int, rows: int = 64) -> np.
 def loss_and_gradient(flat, x, y, hidden, scratch=None):
     """Mean over rows of the squared error per dimension, summed over steps.
 
-    ``x`` is ``[n, T, D]``; ``y`` is ``[n, D]``, the target of every step.
+    ``x`` is ``[n, T, D]``; ``y`` is ``[n, D]``, the target of every step, or ``[n, T, D]``, one for each.
     """
     n, steps, dim = x.shape
+    y = y.transpose(1, 0, 2) if y.ndim == 3 else y
     scratch = scratch or Scratch()
     out, x, gates, h, c, squashed = _run(flat, x, hidden, scratch)
     _, u, _, v, _ = split(flat, dim, hidden)

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def regression_eval(
@@ -13,14 +14,16 @@ def regression_eval(
     """MSE, RMSE, MAE and R² for each dimension over all rows and steps.
 
     ``predicted`` holds one vector per step (``[T, D]``); the label vector is
-    the target of every step. The aggregate combines on the map side, so only
+    the target of every step, or holds one per step, too. The aggregate combines on the map side, so only
     dimensions times partitions are shuffled.
     """
     by = by or []
-    steps = predictions.select(*by, label, F.explode(predicted).alias("_p"))
-    cells = steps.select(
-        *by, F.posexplode(F.arrays_zip(F.col(label).alias("y"), F.col("_p").alias("p")))
-    )
+    if isinstance(predictions.schema[label].dataType.elementType, T.ArrayType):
+        pairs = F.arrays_zip(F.col(label).alias("y"), F.col(predicted).alias("p"))
+        steps = predictions.select(*by, F.explode(pairs).alias("_step")).select(*by, "_step.y", "_step.p")
+    else:
+        steps = predictions.select(*by, F.col(label).alias("y"), F.explode(predicted).alias("p"))
+    cells = steps.select(*by, F.posexplode(F.arrays_zip("y", "p")))
     y = F.col("col.y").cast("double")
     p = F.col("col.p").cast("double")
     scores = cells.groupBy(*by, F.col("pos").alias("dim")).agg(

@@ -22,6 +22,12 @@ def vectors(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim)
 
 
+def targets(column: pa.Array, dim: int) -> np.ndarray:
+    """``[n, D]``, or ``[n, T, D]`` where every step has a target of its own."""
+    by_step = pa.types.is_list(column.type.value_type)
+    return matrices(column, dim) if by_step else vectors(column, dim)
+
+
 def _require_length(column: pa.Array, length: int, what: str) -> None:
     same = pc.sum(pc.equal(pc.list_value_length(column), length)).as_py() or 0
     if same != len(column):
@@ -53,6 +59,7 @@ def predict(examples: DataFrame, flat: np.ndarray, dim: int, hidden: int) -> Dat
                 [batch.column("example_id"), batch.column("y"), p], ["example_id", "y", "p"]
             )
 
+    y = examples.schema["y"].dataType.simpleString()
     return examples.select("example_id", "x", "y").mapInArrow(
-        run, "example_id bigint, y array<float>, p array<array<float>>"
+        run, f"example_id bigint, y {y}, p array<array<float>>"
     )

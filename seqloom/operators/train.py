@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from seqloom.config import Settings
 from seqloom.functions import lstm
 from seqloom.functions.text import hash_bucket
-from seqloom.operators.predict import matrices, vectors
+from seqloom.operators.predict import matrices, targets
 from seqloom.storage import stage
 
 # What a worker returns: a row per mini-batch, then one row with its parameters.
@@ -58,7 +58,7 @@ def _mini_batches(batches, size, dim):
     held_x, held_y = [], []
     held = 0
     for batch in batches:
-        x, y = matrices(batch.column("x"), dim), vectors(batch.column("y"), dim)
+        x, y = matrices(batch.column("x"), dim), targets(batch.column("y"), dim)
         at = 0
         while at < len(x):
             take = min(size - held, len(x) - at)

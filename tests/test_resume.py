@@ -1,0 +1,190 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from seqloom.config import Settings
+from seqloom.functions import lstm
+from seqloom.operators import train as op
+from seqloom.plans import train as plan
+from seqloom.sources.examples import scan_examples, write_examples
+
+DIM, STEPS = 3, 4
+
+
+def knobs(**more):
+    base = dict(embedding_dim=DIM, window_size=STEPS, hidden_size=4, batch_size=8, epochs=3, workers=3, learning_rate=0.02)
+    return Settings(**{**base, **more})
+
+
+@pytest.fixture(scope="module")
+def examples(spark, tmp_path_factory):
+    rng = np.random.default_rng(2)
+    rows = []
+    for n in range(200):
+        x = rng.normal(size=(STEPS, DIM)).astype(np.float32)
+        rows.append((n, x.tolist(), np.tanh(x.sum(axis=0)).tolist()))
+    path = str(tmp_path_factory.mktemp("resume") / "examples")
+    schema = "example_id bigint, x array<array<float>>, y array<float>"
+    write_examples(spark.createDataFrame(rows, schema).repartition(4), path)
+    return scan_examples(spark, path)
+
+
+def stored_parameters(spark, tables, run_id):
+    rows = tables.params(spark).filter(F.col("run_id") == run_id)
+    return {tuple(r) for r in rows.select("epoch", "layer", "name", "param_idx", "value", "m", "v", "step").collect()}
+
+
+@pytest.mark.parametrize("more", [{}, {"averaging_frequency": 3}, {"workers": 5, "weighted_average": True}])
+def test_a_resumed_run_ends_like_one_run(spark, examples, tmp_path, monkeypatch, more):
+    settings, root = knobs(**more), str(tmp_path / "run")
+    whole, wanted = plan.train(examples, settings, root, "whole")
+
+    calls = []
+
+    def stops(*args, **options):
+        calls.append(1)
+        if len(calls) == 3:
+            raise KeyboardInterrupt
+        return op.train_epoch(*args, **options)
+
+    monkeypatch.setattr(plan, "train_epoch", stops)
+    with pytest.raises(KeyboardInterrupt):
+        plan.train(examples, settings, root, "cut")
+    monkeypatch.undo()
+    tables, found = plan.train(examples, settings, root, "cut", resume=True)
+    assert stored_parameters(spark, tables, "cut") == stored_parameters(spark, whole, "whole")
+    for name in ("params", "m", "v", "step"):
+        assert np.array_equal(getattr(found, name), getattr(wanted, name))
+    rows = tables.iterations(spark).groupBy("run_id", "epoch").agg(F.sum("n").alias("n")).collect()
+    assert len({r.n for r in rows}) == 1 and len(rows) == 6
+    assert tables.summary(spark).filter("run_id = 'cut'").first().epochs == 3
+
+
+def test_half_an_epoch_is_not_seen(spark, examples, tmp_path, monkeypatch):
+    settings, root = knobs(epochs=2), str(tmp_path / "run")
+
+    def fails(*args):
+        raise OSError("disk is full")
+
+    real, calls = plan.macro_average, []
+    monkeypatch.setattr(plan, "macro_average", lambda rows: fails() if calls else calls.append(1) or real(rows))
+    with pytest.raises(OSError):
+        plan.train(examples, settings, root, "r")
+    monkeypatch.undo()
+    tables = plan.RunTables(root)
+    # parameters, metrics and times of the second epoch are written, its scores are not
+    assert (tmp_path / "run/params/run_id=r/epoch=2").exists()
+    for rows in (tables.params(spark), tables.iterations(spark), tables.epoch_spans(spark), tables.scores(spark)):
+        assert {r.epoch for r in rows.select("epoch").distinct().collect()} == {1}
+    with pytest.raises(ValueError, match="stores 0 of"):
+        plan.load_model(spark, tables, "r", 2, settings)
+    tables, _ = plan.train(examples, settings, root, "r", resume=True)
+    assert {r.epoch for r in tables.scores(spark).collect()} == {1, 2}
+
+
+def test_a_finished_run_may_go_on(spark, examples, tmp_path):
+    root = str(tmp_path / "run")
+    _, one = plan.train(examples, knobs(epochs=1), root, "r")
+    tables, same = plan.train(examples, knobs(epochs=1), root, "r", resume=True)
+    assert np.array_equal(one.params, same.params) and tables.epochs(spark).count() == 1
+    tables, two = plan.train(examples, knobs(epochs=2), root, "r", resume=True)
+    straight, wanted = plan.train(examples, knobs(epochs=2), root, "s")
+    assert np.array_equal(two.params, wanted.params) and tables.epochs(spark).filter("run_id = 'r'").count() == 2
+
+
+def test_other_settings_are_refused(spark, examples, tmp_path):
+    root = str(tmp_path / "run")
+    plan.train(examples, knobs(epochs=1), root, "r")
+    with pytest.raises(ValueError, match="other settings: batch_size, seed"):
+        plan.train(examples, knobs(epochs=2, batch_size=4, seed=7), root, "r", resume=True)
+
+
+def test_resuming_what_never_began_starts_it(spark, examples, tmp_path):
+    tables, _ = plan.train(examples, knobs(epochs=1), str(tmp_path / "run"), "r", resume=True)
+    assert tables.epochs(spark).count() == 1
+
+
+def test_without_resume_a_run_starts_anew(spark, examples, tmp_path):
+    root = str(tmp_path / "run")
+    plan.train(examples, knobs(epochs=2), root, "r")
+    tables, _ = plan.train(examples, knobs(epochs=1, seed=9), root, "r")
+    assert {r.epoch for r in tables.params(spark).select("epoch").distinct().collect()} == {1}
+    progress = tables.progress(spark).filter("run_id = 'r'").collect()
+    assert sorted(r.epoch for r in progress) == [0, 1]
+
+
+def outputs(spark, count, width=5):
+    rng = np.random.default_rng(5)
+    vectors = [[rng.normal(size=width).astype(np.float32).tolist() for _ in range(3)] for _ in range(count)]
+    rows = [(k, k % 4 + 1, k, *v) for k, v in enumerate(vectors)]
+    rows += [(k, 9, 0, None, None, None) for k in range(7)]
+    schema = "worker int, n bigint, iteration bigint, params array<float>, m array<float>, v array<float>"
+    return vectors, spark.createDataFrame(rows, schema)
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_averages_in_levels(spark, monkeypatch, weighted):
+    monkeypatch.setattr(op, "FAN", 2)
+    vectors, rows = outputs(spark, 40)
+    found = op.average(rows.repartition(11), weighted).orderBy("pos").collect()
+    weights = [k % 4 + 1 if weighted else 1 for k in range(40)]
+    for at, name in enumerate(("params", "m", "v")):
+        wanted = np.average(np.array([v[at] for v in vectors]), axis=0, weights=weights)
+        assert np.allclose([r[name] for r in found], wanted, atol=1e-7)
+    assert {r.step for r in found} == {39} and [r.pos for r in found] == list(range(5))
+
+
+def test_one_row_per_task_and_no_cell_per_worker(spark):
+    _, rows = outputs(spark, 64)
+    sums = op.sum_workers(rows.repartition(8))
+    assert sums.count() == 1 and sums.first().weight == 64
+    # only the one averaged vector is taken apart
+    plan_text = op.average(rows)._jdf.queryExecution().executedPlan().toString()
+    below = plan_text[plan_text.index("Generate posexplode") :]
+    assert "struct<weight:double" in below and "MapInArrow" not in below and "Exchange" not in below
+
+
+def test_no_worker_no_average(spark):
+    _, rows = outputs(spark, 0)
+    assert op.average(rows).count() == 0
+
+
+def test_vectors_of_different_lengths_raise(spark):
+    _, short = outputs(spark, 3, width=4)
+    _, long = outputs(spark, 3, width=5)
+    with pytest.raises(Exception, match="different lengths"):
+        op.average(short.unionByName(long).coalesce(1)).collect()
+
+
+def test_workers_are_bounded_by_a_setting(examples):
+    assert op.plan_workers(examples, knobs(workers=None, most_workers=2)) == op.Workers(2, False)
+    with pytest.raises(ValueError, match="most_workers"):
+        knobs(most_workers=0)
+
+
+def test_training_on_a_target_for_each_step(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    flat = lstm.initial(DIM, 4, 1).astype(float)
+    x, y = rng.normal(size=(5, STEPS, DIM)), rng.normal(size=(5, STEPS, DIM))
+    _, grad = lstm.loss_and_gradient(flat, x, y, 4)
+    for i in range(0, len(flat), 7):
+        up, down = flat.copy(), flat.copy()
+        up[i] += 1e-5
+        down[i] -= 1e-5
+        slope = lstm.loss_and_gradient(up, x, y, 4)[0] - lstm.loss_and_gradient(down, x, y, 4)[0]
+        assert grad[i] == pytest.approx(slope / 2e-5, abs=1e-7)
+    rows = []
+    for n in range(300):
+        x = rng.normal(size=(STEPS, DIM)).astype(np.float32)
+        rows.append((n, x.tolist(), np.tanh(np.cumsum(x, axis=0)).tolist()))
+    schema = "example_id bigint, x array<array<float>>, y array<array<float>>"
+    path = str(tmp_path / "steps")
+    write_examples(spark.createDataFrame(rows, schema), path)
+    settings = knobs(epochs=3, workers=1)
+    tables, state = plan.train(scan_examples(spark, path, step_targets=True), settings, str(tmp_path / "run"), "r")
+    epochs = tables.epochs(spark).orderBy("epoch").collect()
+    assert epochs[2].mse < epochs[0].mse
+    # the scores are those of every step with its own target
+    valid = plan.train_valid_split(scan_examples(spark, path, step_targets=True)).filter("split = 'valid'").collect()
+    found = lstm.predict(state.params, np.array([r.x for r in valid], dtype=np.float32), 4)
+    assert epochs[2].mse == pytest.approx(float(((found - np.array([r.y for r in valid])) ** 2).mean()), rel=1e-4)

@@ -1,0 +1,109 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from seqloom.functions.vectors import step_targets, target_series
+from seqloom.operators.examples import embed_windows, keep_complete, training_examples
+from seqloom.operators.windows import sliding_window, stream_of_windows, window_rows
+
+SIZE, DIM = 3, 2
+
+
+@pytest.fixture
+def table(vectors):
+    return vectors({t: [float(t), -0.5 * t] for t in range(9)})
+
+
+def windows_of(stream, count=60, block_rows=16):
+    rng = random.Random(1)
+    tokens = [rng.randrange(11) for _ in range(count)]
+    return tokens, window_rows(sliding_window(stream(tokens), SIZE, block_rows=block_rows))
+
+
+def as_rows(df):
+    return sorted((r.example_id, r.x, r.y) for r in df.collect())
+
+
+@pytest.mark.parametrize("keep", ["true", "example_id % 5 <> 2", "example_id % 7 in (0, 1)", "example_id between 20 and 30", "example_id = 33", "false"])
+@pytest.mark.parametrize("size", [SIZE, 20])
+def test_a_large_table_gives_the_same_examples(stream, table, keep, size):
+    rng = random.Random(1)
+    tokens = [rng.randrange(11) for _ in range(150)]
+    windows = window_rows(sliding_window(stream(tokens), size, block_rows=16)).where(keep)
+    small = as_rows(embed_windows(windows, table, SIZE if size == SIZE else size, DIM))
+    large = as_rows(embed_windows(windows, table, size, DIM, limit=0, block_rows=16))
+    wanted = as_rows(training_examples(stream(tokens), table, size, DIM).where(keep))
+    assert small == large == wanted
+
+
+def test_the_stream_comes_back(stream):
+    tokens, windows = windows_of(stream)
+    rows = sorted(tuple(r) for r in stream_of_windows(windows, SIZE).select("idx", "token_id", "full").collect())
+    assert rows == [(k, t, k >= SIZE) for k, t in enumerate(tokens)]
+    some = windows.where("example_id in (5, 6, 8, 30)")
+    rows = sorted(tuple(r) for r in stream_of_windows(some, SIZE).select("idx", "token_id", "full").collect())
+    assert rows == [(k, tokens[k], k in (5, 6, 8, 30)) for k in (2, 3, 4, 5, 6, 7, 8, 27, 28, 29, 30)]
+
+
+def test_ids_move_once_and_vectors_once(spark, stream, table, tmp_path):
+    _, windows = windows_of(stream)
+    windows.write.parquet(str(tmp_path / "w"))
+    stored = spark.read.parquet(str(tmp_path / "w"))
+    rows = embed_windows(stored, table, SIZE, DIM, limit=0)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # the stream and the table meet by token, then vectors go to their blocks
+    assert sum("_block" in line for line in dealt) == 1
+    assert sum("token_id" in line or "_token" in line for line in dealt) == 2 and len(dealt) == 3
+    assert "posexplode(concat" not in plan and "collect_list" not in plan
+
+
+def test_a_condition_on_the_number_does_not_reach_the_check(stream):
+    _, windows = windows_of(stream)
+    assert windows.where("example_id = 7").count() == 1
+    assert windows.where("example_id = 7").unionByName(windows.where("example_id = 8")).count() == 2
+
+
+def test_a_wrong_context_raises(spark):
+    rows = [(k, k, True) for k in range(5)]
+    stream = spark.createDataFrame(rows, "idx bigint, token_id int, full boolean")
+    for size, block_rows in ((2, 1024), (20, 1024)):
+        with pytest.raises(Exception, match="without gaps"):
+            sliding_window(stream, size, only="full", block_rows=block_rows).collect()
+
+
+@pytest.mark.parametrize("limit", [1 << 28, 0])
+@pytest.mark.parametrize("size", [SIZE, 20])
+def test_step_targets_are_the_stream_shifted_by_one(stream, table, limit, size):
+    rng = random.Random(2)
+    tokens = [rng.randrange(11) for _ in range(70)]
+    vec = lambda t: [float(t), -0.5 * t] if t < 9 else [0.0, 0.0]
+    rows = training_examples(stream(tokens), table, size, DIM, limit=limit, step_targets=True, block_rows=16).collect()
+    assert sorted(r.example_id for r in rows) == list(range(size, 70))
+    for r in rows:
+        assert r.y == [vec(t) for t in tokens[r.example_id - size + 1 : r.example_id + 1]]
+    windows = window_rows(sliding_window(stream(tokens), size))
+    stored = embed_windows(windows, table, size, DIM, limit=limit, step_targets=True)
+    assert as_rows(stored) == sorted((r.example_id, r.x, r.y) for r in rows)
+
+
+def test_target_series_of_either_rank(spark):
+    df = spark.createDataFrame([([[1.0, 2.0], [3.0, 4.0], [5.0, 6.0]], [7.0, 8.0])], "m array<array<float>>, y array<float>")
+    one = df.select(target_series(F.col("y"), 3, 2).alias("t"), target_series(F.col("m"), 3, 2, by_step=True).alias("s")).first()
+    assert one.t == [[7.0] * 3, [8.0] * 3] and one.s == [[1.0, 3.0, 5.0], [2.0, 4.0, 6.0]]
+    shifted = df.select(step_targets(F.col("m"), F.col("y")).alias("s")).first().s
+    assert shifted == [[3.0, 4.0], [5.0, 6.0], [7.0, 8.0]]
+    single = spark.range(1).select(step_targets(F.array(F.lit(1)), F.lit(2)).alias("s")).first().s
+    assert single == [2]
+
+
+def test_incomplete_step_targets_are_dropped(spark):
+    rows = [
+        (1, [[1.0], [2.0]], [[1.0], [2.0]]),
+        (2, [[1.0], [2.0]], [[1.0]]),
+        (3, [[1.0], [2.0]], [[1.0], [2.0, 3.0]]),
+        (4, [[1.0], [2.0]], None),
+    ]
+    df = spark.createDataFrame(rows, "example_id bigint, x array<array<float>>, y array<array<float>>")
+    assert [r.example_id for r in keep_complete(df, 2, 1, step_targets=True).collect()] == [1]
