@@ -255,6 +255,7 @@ WITH {ID_LISTS}
 SELECT event_id, CAST(len(ids) AS INTEGER) AS n_ids, array_to_string(ids, ',') AS ids FROM parsed
 """,
     "scan_token_lists_csv": f"WITH {DOCUMENT_WORDS} SELECT idx, token_id FROM tokens",
+    "token_lists_appended": f"WITH {DOCUMENT_WORDS} SELECT idx, token_id FROM tokens",
     "scan_token_lists_text": f"""
 WITH {CONVERSATION_WORDS}
 SELECT row_number() OVER (ORDER BY conv_id, turn, pos) - 1 AS idx, token_id FROM tokens

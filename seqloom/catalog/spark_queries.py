@@ -25,7 +25,7 @@ from seqloom.plans.run import prepare_and_train
 from seqloom.plans.train import RunTables, parameter_table, train
 from seqloom.sources import embeddings as emb_source
 from seqloom.sources import examples as stored
-from seqloom.sources import published, rejects
+from seqloom.sources import appended, published, rejects
 from seqloom.sources import tokens as token_source
 from seqloom.storage import new_folder
 
@@ -180,14 +180,32 @@ def scan_token_lists_text(spark, sf_dir):
     return _token_lists(spark, turns, ["conv_id", "turn"], "text").select("idx", "token_id")
 
 
+def token_lists_appended(spark, sf_dir):
+    """The same documents in two folders that come one after the other: the second is numbered from where the first ended."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    middle = docs.agg(F.max("doc_id")).first()[0] // 2
+    source, path = new_folder(spark, "token_lists"), new_folder(spark, "numbered")
+    for part, rows in enumerate((docs.where(F.col("doc_id") <= middle), docs.where(F.col("doc_id") > middle))):
+        folder = f"{source}/part{part}"
+        _write_token_lists(rows, ["doc_id"], "csv", folder)
+        appended.append_token_lists(spark, folder, path)
+        # a second look finds nothing new
+        appended.append_token_lists(spark, folder, path)
+    return appended.read_appended(spark, path)
+
+
 def _token_lists(spark, rows, order_by, form):
+    path = new_folder(spark, "token_lists")
+    _write_token_lists(rows, order_by, form, path)
+    return token_source.scan_token_lists(spark, path, form)
+
+
+def _write_token_lists(rows, order_by, form, path):
     ids = F.array_join(word_tokens().cast("array<string>"), ", ")
     lists = F.concat(F.lit("["), ids, F.lit("]"))
     rows = rows.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    path = new_folder(spark, "token_lists")
     options = {"quoteAll": True} if form == "csv" else {"quote": "", "sep": "\t"}
     rows.select(lists.alias("tokens")).write.csv(path, header=True, **options)
-    return token_source.scan_token_lists(spark, path, form)
 
 
 def scan_embeddings_csv(spark, sf_dir):
@@ -809,6 +827,7 @@ QUERIES: dict[str, Query] = {
         parse_id_list,
         scan_token_lists_csv,
         scan_token_lists_text,
+        token_lists_appended,
         scan_embeddings_csv,
         scan_embeddings_csv_bad_ids,
         rejected_embedding_rows,

@@ -60,6 +60,13 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def file_lengths(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names and bytes of the data files in a folder, without those that readers skip."""
+    fs, folder = _file_system(spark, path)
+    statuses = [s for s in fs.listStatus(folder) if s.isFile()]
+    return {str(s.getPath().toString()): s.getLen() for s in statuses if s.getPath().getName()[0] not in "_."}
+
+
 def _manifests(spark: SparkSession, path: str) -> list[Version]:
     if not exists(spark, f"{path}/manifest"):
         return []
@@ -78,13 +85,16 @@ def publish(
     partition_by: tuple[str, ...] = (),
     counts: dict | None = None,
     check: Callable[[int], None] | None = None,
+    notes: dict[str, int] | None = None,
+    after: int | None = None,
 ) -> Version:
     """Write ``rows`` as the next version of the table at ``path`` and make it the one that is read.
 
     Rows are counted while they are written. ``counts`` names more aggregates to take on the way
     (no distinct ones). ``check`` gets the number of rows written and may raise; then, too, nothing is
     published. A writer that fails leaves a folder that no manifest names; ``drop_versions`` removes it. Of two writers at
-    a time, both versions are kept and the last to finish is read.
+    a time, both versions are kept and the last to finish is read; one that says ``after`` which
+    version it was made raises if another has come since. ``notes`` are kept with the counts.
     """
     spark = rows.sparkSession
     folder = f"versions/{uuid.uuid4().hex}"
@@ -96,8 +106,11 @@ def publish(
     total = found.pop("rows")
     if check:
         check(total)
+    found |= notes or {}
     for _ in range(TRIES):
         number = max((v.number for v in _manifests(spark, path)), default=0) + 1
+        if after is not None and number != after + 1:
+            raise RuntimeError(f"another writer has published {path} meanwhile")
         entry = {"version": number, "folder": folder, "rows": total, "details": found}
         if write_small_file(spark, f"{path}/manifest/{number:012d}.json", json.dumps(entry)):
             return Version(number, folder, total, found)
