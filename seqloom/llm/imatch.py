@@ -123,7 +123,8 @@ def match_next(docs: DataFrame, words: DataFrame, id_col: str = "doc_id", text_c
     without an id has none: its edited text is its first half and near_next is null. One single id
     follows itself. An empty table gives no rows. Other columns are not read.
 
-    Texts are dealt by id once; beginnings of texts go to the document before. Hot ids are salted.
+    Texts are dealt by id once and beginnings of texts go to the document before; hot ids are salted. Each
+    text is hashed once, but for rows that repeat an id.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -151,28 +152,36 @@ def match_next(docs: DataFrame, words: DataFrame, id_col: str = "doc_id", text_c
     rows = salted(rows, "row").drop("known")
     # no third key of the join, so that both joins deal texts alike and one exchange of them serves both
     here = (rows["id"] == links["id"]) & (rows["salt"] == links["salt"]) & (F.abs(rows["row"] - links["next_row"]) < 1)
-    starts = rows.join(links, here).select(rows["id"], rows["salt"], "text", "previous", F.expr("substr(text, 1, longest div 2)").alias("start"))
-    messages = fingerprints(starts, words, ["id", "salt"], carry=("previous", "start"), limit=limit)
-    messages = messages.select(F.col("previous").alias("id"), "start", F.col("fingerprint").alias("next_print"))
+    starts = rows.join(links, here).select(rows["id"], rows["salt"], "row", "text", "previous", F.expr("substr(text, 1, longest div 2)").alias("start"))
+    prints = fingerprints(starts, words, ["id", "salt"], carry=("row", "previous", "start"), limit=limit)
+    # a print is made once: it goes to the document before, with the beginning of the text, and back to its own
+    forth = "struct(previous as to_id, true as is_next, start, cast(null as bigint) as first_row, fingerprint as print)"
+    back = "struct(id as to_id, false as is_next, cast(null as string) as start, row as first_row, fingerprint as print)"
+    told = f"inline(array({forth}, {back}))"
     copies = F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt")
-    messages = messages.join(F.broadcast(hot), "id", "left").select("id", copies, "start", "next_print")
+    messages = prints.selectExpr(told).withColumnRenamed("to_id", "id").join(F.broadcast(hot), "id", "left")
+    messages = messages.select("id", copies, "is_next", "start", "first_row", "print")
     pairs = rows.join(messages, ["id", "salt"], "left").withColumn("n_chars", F.length("text").cast("long"))
-    edited = F.expr("concat(substr(text, 1, int(n_chars - n_chars div 2)), coalesce(substr(start, 1, int(n_chars div 2)), ''))")
-    pairs = pairs.withColumn("edited", edited)
-    versions = F.expr("explode(array(false, true)) as is_edited")
-    pairs = pairs.select("id", "salt", "row", "n_chars", "text", "edited", "next_print", versions)
-    # a message and a digest are carried once for both versions
-    only = {"edited_sha256": "if(is_edited, sha2(edited, 256), null)", "next_print": "if(is_edited, null, next_print)"}
-    pairs = pairs.withColumn("version", F.expr("if(is_edited, edited, text)")).withColumns({c: F.expr(e) for c, e in only.items()})
-    keys = ["id", "salt", "row", "is_edited"]
-    prints = fingerprints(pairs, words, keys, "version", ("n_chars", "edited_sha256", "next_print"), limit)
-    # the two versions of a row lie in one task
+    # what is left to hash: the edited text, the text of a row that repeats an id, or both for a row without an id
+    kinds = "case when is_next then array('edited') when first_row = row then array('known') when first_row is not null then array('text') else array('text', 'edited') end"
+    pairs = pairs.select("*", F.expr(f"explode({kinds})").alias("kind"))
+    edited = "concat(substr(text, 1, int(n_chars - n_chars div 2)), coalesce(substr(start, 1, int(n_chars div 2)), ''))"
+    pairs = pairs.withColumn("version", F.expr(f"case kind when 'edited' then {edited} when 'text' then text else '' end"))
+    carried = {
+        "edited_sha256": "if(kind = 'edited', sha2(version, 256), null)",
+        "next_print": "if(kind = 'edited', print, null)",
+        "own_print": "if(kind = 'known', print, null)",
+    }
+    pairs = pairs.withColumns({c: F.expr(e) for c, e in carried.items()})
+    keys = ["id", "salt", "row", "kind"]
+    prints = fingerprints(pairs, words, keys, "version", ("n_chars", *carried), limit)
+    # all that belongs to a row lies in one task
     joined = prints.groupBy("id", "salt", "row").agg(
         F.max("n_chars").alias("n_chars"),
         F.max("edited_sha256").alias("edited_sha256"),
         F.max("next_print").alias("next_print"),
-        F.max(F.expr("if(is_edited, null, fingerprint)")).alias("fingerprint"),
-        F.max(F.expr("if(is_edited, fingerprint, null)")).alias("edited_fingerprint"),
+        F.max(F.expr("case kind when 'known' then own_print when 'text' then fingerprint end")).alias("fingerprint"),
+        F.max(F.expr("if(kind = 'edited', fingerprint, null)")).alias("edited_fingerprint"),
     )
     own = F.col("fingerprint")
     return joined.select(
