@@ -316,6 +316,15 @@ WITH tokens AS (
 SELECT event_id, CAST(token_id AS INTEGER) AS token_id, vec_id IS NOT NULL AS hit,
        {spread('v', f'COALESCE(embedding, {ZEROS})')}
 FROM tokens LEFT JOIN embeddings ON vec_id = token_id
+""",
+    "lookup_embedding_bucketed": f"""
+WITH tokens AS (
+  SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 7
+                        ELSE CAST(user_id * 7 % 600 AS INTEGER) END AS token_id
+  FROM events)
+SELECT event_id, CAST(token_id AS INTEGER) AS token_id, vec_id IS NOT NULL AS hit,
+       {spread('v', f'COALESCE(embedding, {ZEROS})')}
+FROM tokens LEFT JOIN embeddings ON vec_id = token_id
 """,
     "positional_encoding": "SELECT conv_id, turn, "
     + ", ".join(

@@ -3,6 +3,7 @@
 import pathlib
 import shutil
 import tempfile
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -14,7 +15,7 @@ from seqloom.config import Settings
 from seqloom.functions import lstm
 from seqloom.functions import text as txt
 from seqloom.functions import vectors as vec
-from seqloom.operators import checks, evaluate, examples, lookup, metrics
+from seqloom.operators import bucketed, checks, evaluate, examples, lookup, metrics
 from seqloom.operators.index import sequence_index
 from seqloom.operators.predict import predict
 from seqloom.operators.split import split_label
@@ -354,6 +355,19 @@ def lookup_embedding_hot(spark, sf_dir):
     return found.select(key, "token_id", "hit", *spread("v", "vec"))
 
 
+def lookup_embedding_bucketed(spark, sf_dir):
+    """The same stream against the table stored in buckets of its id, which stays where it is."""
+    rows = sparse_stream(spark, sf_dir)
+    token = F.when(F.col("idx") % 3 == 0, F.lit(7)).otherwise(F.col("token_id"))
+    rows = rows.withColumn("token_id", token)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"vectors_{uuid.uuid4().hex}"
+    bucketed.store_bucketed(embedding(spark, sf_dir), name, DIM, parts, new_folder(spark, "buckets"))
+    found = bucketed.lookup_bucketed(rows, name, DIM)
+    key = F.col("idx").alias("event_id")
+    return found.select(key, "token_id", "hit", *spread("v", "vec"))
+
+
 def positional_encoding(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     code = vec.positional_encoding(F.col("turn"), 50)
@@ -841,6 +855,7 @@ QUERIES: dict[str, Query] = {
         lookup_embedding,
         lookup_embedding_large,
         lookup_embedding_hot,
+        lookup_embedding_bucketed,
         positional_encoding,
         input_matrix,
         input_matrix_large,
