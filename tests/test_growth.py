@@ -1,0 +1,64 @@
+"""What keeps the cost of wide examples in proportion to the input."""
+
+import datetime
+
+import numpy as np
+import pytest
+
+from seqloom.catalog import spark_queries as queries
+from seqloom.functions import vectors as vec
+from seqloom.operators import examples
+from seqloom.sources import examples as stored
+
+DIM = 64
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.fixture
+def small(spark, tmp_path):
+    """Events of three days and vectors for part of their tokens."""
+    day = datetime.datetime(2024, 1, 1)
+    rows = [(i, day + datetime.timedelta(hours=i), i * 5 % 11, "view", float(i), '{"k": 1}') for i in range(60)]
+    kinds = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(rows, kinds).write.parquet(f"{tmp_path}/events.parquet")
+    rng = np.random.default_rng(1)
+    table = [(i, [float(x) for x in rng.normal(size=DIM)], 0) for i in range(0, 80, 7)]
+    spark.createDataFrame(table, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    return str(tmp_path)
+
+
+def test_wide_examples_add_codes_without_a_lambda(spark):
+    """Vectors of another length give a zero row, missing elements stay missing, unknown tokens are codes."""
+    size, dim = 18, 3
+    table = [(0, [1.0, 2.0, 3.0]), (1, [1.0]), (2, [4.0, None, 5.0]), (3, [7.0, 8.0, 9.0, 1.0]), (4, [])]
+    table = spark.createDataFrame(table, "token_id int, vec array<float>")
+    stream = spark.createDataFrame([(i, i * i % 7 if i < 45 else 0) for i in range(80)], "idx bigint, token_id int")
+    for limit in (1 << 28, 0):
+        found = examples.training_examples(stream, table, size, dim, limit=limit)
+        assert "lambda" not in plan(found)
+        found = {r.example_id: r for r in found.collect()}
+        assert sorted(found) == list(range(size, 80))
+        known = {r.token_id: r.vec for r in table.collect()}
+        coded = spark.range(1).select(*[vec.position_code(p, dim).alias(f"c{p}") for p in range(size)]).first()
+        for at, r in found.items():
+            for p in range(size):
+                token = (at - size + p) ** 2 % 7 if at - size + p < 45 else 0
+                own = known.get(token, [0.0] * dim)
+                want = [None if a is None else np.float32(a) + np.float32(c) for a, c in zip(own, coded[p])]
+                assert r.x[p] == (want if len(own) == dim else [0.0] * dim)
+
+
+def test_methods_stay_small_enough_to_be_compiled(spark, small):
+    before = spark.conf.get(vec.HUGE_METHOD_KEY, None)
+    try:
+        spark.conf.set(vec.HUGE_METHOD_KEY, "65535")
+        queries.table(spark, small, "events")
+        assert spark.conf.get(vec.HUGE_METHOD_KEY) == "8000"
+        spark.conf.set(vec.HUGE_METHOD_KEY, "4000")
+        queries.table(spark, small, "events")
+        assert spark.conf.get(vec.HUGE_METHOD_KEY) == "4000"
+    finally:
+        spark.conf.unset(vec.HUGE_METHOD_KEY) if before is None else spark.conf.set(vec.HUGE_METHOD_KEY, before)
