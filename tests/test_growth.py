@@ -30,6 +30,18 @@ def small(spark, tmp_path):
     return str(tmp_path)
 
 
+def test_epochs_are_scored_without_a_join_of_vectors(spark, small):
+    found = queries.epoch_validation(spark, small)
+    # the table of vectors, and the scores; none of the predicted vectors with their day
+    assert plan(found).count("Join ") == 2
+    day = queries.table(spark, small, "events").select("event_id", queries.epoch_of_event())
+    rows = queries.persistence_forecast(spark, small).join(day, day.event_id == queries.F.col("example_id")).collect()
+    for epoch in (0, 1, 2):
+        of = [(np.array(r.p) - np.array(r.y)) ** 2 for r in rows if r.epoch == epoch]
+        score = found.where(f"epoch = {epoch}").first()
+        assert score.mse == pytest.approx(np.mean(of), abs=1e-5)
+
+
 def test_wide_examples_add_codes_without_a_lambda(spark):
     """Vectors of another length give a zero row, missing elements stay missing, unknown tokens are codes."""
     size, dim = 18, 3
