@@ -74,3 +74,13 @@ def test_methods_stay_small_enough_to_be_compiled(spark, small):
         assert spark.conf.get(vec.HUGE_METHOD_KEY) == "4000"
     finally:
         spark.conf.unset(vec.HUGE_METHOD_KEY) if before is None else spark.conf.set(vec.HUGE_METHOD_KEY, before)
+
+
+def test_stored_examples_are_compressed(spark, small, tmp_path):
+    """Overlapping windows repeat vectors: stored rows take a part of their bytes, as text and as columns."""
+    rows = queries.training_set(spark, small).coalesce(1).cache()
+    stored.write_examples_text(rows, f"{tmp_path}/text")
+    plain = sum(len(r.value) for r in rows.select(queries.F.to_json(queries.F.struct("example_id", "x", "y")).alias("value")).collect())
+    files = list((tmp_path / "text").glob("part-*"))
+    assert files and sum(f.stat().st_size for f in files) < plain / 2
+    assert spark.read.text(f"{tmp_path}/text").count() == rows.count()
