@@ -101,7 +101,8 @@ def publish(
     seen = Observation()
     more = [column.cast("bigint").alias(name) for name, column in (counts or {}).items()]
     observed = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *more)
-    observed.write.partitionBy(*partition_by).parquet(f"{path}/{folder}")
+    # overlapping windows repeat the same vectors a few hundred rows apart, which only a codec with a wide window sees
+    observed.write.partitionBy(*partition_by).parquet(f"{path}/{folder}", compression="zstd")
     found = {k: int(v or 0) for k, v in seen.get.items()}
     total = found.pop("rows")
     if check:

@@ -84,3 +84,5 @@ def test_stored_examples_are_compressed(spark, small, tmp_path):
     files = list((tmp_path / "text").glob("part-*"))
     assert files and sum(f.stat().st_size for f in files) < plain / 2
     assert spark.read.text(f"{tmp_path}/text").count() == rows.count()
+    version = stored.write_examples(rows, f"{tmp_path}/columns")
+    assert list((tmp_path / "columns" / version.folder).glob("*.zstd.parquet"))
