@@ -3,10 +3,10 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The outer characters a token list may carry, the separators between its ids, one id.
+# The outer characters a token list may carry, the separators between its ids, the characters of a list of ids.
 OUTER_SPACE = r"^[\x00-\x20]+|[\x00-\x20]+$"
 SEPARATORS = r"[,\s]+"
-INTEGER = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*\z"
+PLAIN = r"^[0-9+,\x00-\x20-]*\z"
 
 
 def parse_id_list(text: Column) -> Column:
@@ -17,12 +17,13 @@ def parse_id_list(text: Column) -> Column:
     """
     body = F.regexp_replace(text, OUTER_SPACE, "")
     body = F.regexp_replace(F.regexp_replace(body, r"^\[", ""), r"\]\z", "")
-    pieces = F.filter(F.split(body, SEPARATORS), lambda piece: piece != "")
-    ids = F.transform(
-        pieces, lambda piece: F.when(piece.rlike(INTEGER), piece.try_cast("int"))
-    )
-    none = F.array().cast("array<int>")
-    return F.coalesce(F.when(~F.exists(ids, F.isnull), ids), none)
+    # What a cast reads beyond plain integers holds another character; told once a list, not once a piece.
+    plain = F.when(body.rlike(PLAIN), body)
+    pieces = F.filter(F.split(plain, SEPARATORS), lambda piece: piece != "")
+    ids = F.transform(pieces, lambda piece: piece.try_cast("int"))
+    # nested in one expression, so that a list is read once and not again for its result
+    whole = F.transform(F.array(ids), lambda found: F.when(~F.exists(found, F.isnull), found))
+    return F.coalesce(whole[0], F.array().cast("array<int>"))
 
 
 def is_bad_id_list(text: Column) -> Column:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from seqloom.catalog import spark_queries as queries
+from seqloom.functions import text
 from seqloom.functions import vectors as vec
 from seqloom.operators import examples
 from seqloom.sources import examples as stored
@@ -86,3 +87,13 @@ def test_stored_examples_are_compressed(spark, small, tmp_path):
     assert spark.read.text(f"{tmp_path}/text").count() == rows.count()
     version = stored.write_examples(rows, f"{tmp_path}/columns")
     assert list((tmp_path / "columns" / version.folder).glob("*.zstd.parquet"))
+
+
+def test_a_list_is_read_once(spark):
+    """Neither twice for its check and its result, nor with a pattern for each piece."""
+    odd = ["1,2", "5\x7f", "+", "-", "+-1", "1\x012", "1 .5", "1e3", "[ -0 ,+7]", "١", "\x01", "3\x01 4", "2147483648", "1L"]
+    rows = spark.createDataFrame([(t,) for t in odd], "tokens string")
+    found = rows.select(text.parse_id_list(queries.F.col("tokens")).alias("ids"))
+    assert plan(found).count("split(") == 1
+    assert plan(found).count("RLIKE") == 1
+    assert [r.ids for r in found.collect()] == [[1, 2], [], [], [], [], [], [], [], [0, 7], [], [], [3, 4], [], []]
